@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens import functions as fn
 from ledgerlens.operators.cleaning import base_view
-from ledgerlens.operators.duplicates import mark_duplicates, semi_join_duplicates
+from ledgerlens.operators.duplicates import duplicate_rows, semi_join_duplicates
 from ledgerlens.operators.joins import lookup_join
 from ledgerlens.schema import (
     CHECKS,
@@ -24,7 +24,10 @@ from ledgerlens.schema import (
 
 @dataclass(frozen=True)
 class Rule:
-    """One check over a prepared row: when it fires and what it says."""
+    """One check over a prepared row: when it fires and what it says.
+
+    Duplicates have no row-local test; their rows are found first.
+    """
 
     check: str
     exception_type: str
@@ -41,7 +44,7 @@ def duplicate_rule(s: AuditSettings) -> Rule:
     reason = (
         f"Multiple payments with identical vendor, amount, currency and invoice within {s.dup_window_days} days"
     )
-    return Rule(CHECKS[0], DUPLICATE, F.col("is_duplicate"), F.lit(reason))
+    return Rule(CHECKS[0], DUPLICATE, F.lit(True), F.lit(reason))
 
 
 def missing_invoice_rule(s: AuditSettings) -> Rule:
@@ -90,7 +93,7 @@ def _flag(df: DataFrame, rule: Rule) -> DataFrame:
 
 def check_duplicate_payments(df: DataFrame, dup_window_days: int = 7) -> DataFrame:
     rule = duplicate_rule(AuditSettings(dup_window_days=dup_window_days))
-    return _flag(mark_duplicates(df, dup_window_days), rule)
+    return _flag(duplicate_rows(df, dup_window_days), rule)
 
 
 def check_missing_invoice_numbers(df: DataFrame) -> DataFrame:
@@ -114,7 +117,7 @@ def run_all_checks(df: DataFrame, settings: AuditSettings = AuditSettings()) ->
     require_columns(df, ["approval_limit"])
     dup, missing, hours, limit = audit_rules(settings)
     return {
-        dup.check: _flag(mark_duplicates(df, settings.dup_window_days), dup),
+        dup.check: check_duplicate_payments(df, settings.dup_window_days),
         missing.check: _flag(df, missing),
         hours.check: _flag(df, hours),
         limit.check: _flag(df, limit),

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens import functions as fn
-from ledgerlens.operators.joins import join_profile
+from ledgerlens.operators.joins import hot_rows, may_match, spread_left_join
 
 GROUP = ["invoice_key", "amount", "vendor_id", "currency"]
 GROUP_DAY = [*GROUP, "transaction_date"]
@@ -71,35 +71,65 @@ def cluster_profile(profile: DataFrame, window_days: int) -> DataFrame:
     )
 
 
-def _onto_rows(keyed: DataFrame, profile: DataFrame, *payload: str) -> DataFrame:
-    return join_profile(keyed, profile, GROUP_DAY, "payments", *payload)
+def _onto_rows(keyed: DataFrame, profile: DataFrame, hot: DataFrame, *payload: str) -> DataFrame:
+    """Join profile columns back onto the rows of each (group, date)."""
+    columns = [*GROUP_DAY, *payload]
+    return spread_left_join(
+        keyed, profile.select(*columns), hot.select(*columns), GROUP_DAY, "transaction_id", null_safe=True
+    )
 
 
-def mark_duplicates(df: DataFrame, window_days: int = 7) -> DataFrame:
-    """All rows of `df` with `is_duplicate`; groups are null-safe."""
-    keyed = with_invoice_key(df)
-    flagged = chain_marks(day_profile(keyed), window_days).filter("is_duplicate")
-    return _onto_rows(keyed, flagged, "is_duplicate").select(
-        *df.columns, F.coalesce("is_duplicate", F.lit(False)).alias("is_duplicate")
+def _rows_of_days(keyed: DataFrame, days: DataFrame, hot: DataFrame, *payload: str) -> DataFrame:
+    """Rows whose (group, date) is in `days`, with payload columns of `days`.
+
+    The days come out of a window sort and feed both the key filter and the
+    join, so they are exchanged once and read twice. Only rows that pass the
+    filter are shuffled.
+    """
+    days = days.select(*GROUP_DAY, *payload).repartition(*GROUP_DAY)
+    found = F.lit(True).alias("_found")
+    return (
+        may_match(keyed, days, GROUP_DAY)
+        .transform(
+            spread_left_join,
+            days.select("*", found),
+            hot.select(*GROUP_DAY, *payload, found),
+            GROUP_DAY,
+            "transaction_id",
+            null_safe=True,
+        )
+        .filter("_found")
+        .drop("_found")
     )
 
 
+def duplicate_rows(df: DataFrame, window_days: int = 7) -> DataFrame:
+    """Rows of `df` that are duplicates; groups are null-safe.
+
+    A hot day holds several payments, so it is flagged before any date rule.
+    """
+    keyed = with_invoice_key(df)
+    days = day_profile(keyed)
+    flagged = chain_marks(days, window_days).filter("is_duplicate")
+    return _rows_of_days(keyed, flagged, hot_rows(days, "payments").filter("payments > 1")).select(*df.columns)
+
+
 def day_gaps(df: DataFrame) -> DataFrame:
     """Days since the previous payment of the group, in (date, id) order."""
     keyed = with_invoice_key(df)
     profile = chain_marks(day_profile(keyed, F.min("transaction_id").alias("first_id")), 0)
     first_of_day = F.col("transaction_id") == F.col("first_id")
     gap = F.when(first_of_day, F.col("day_gap")).when(F.col("transaction_date").isNotNull(), 0)
-    return _onto_rows(keyed, profile, "day_gap", "first_id").withColumn("day_gap", gap).drop("invoice_key", "first_id")
+    hot = hot_rows(profile, "payments")
+    return _onto_rows(keyed, profile, hot, "day_gap", "first_id").withColumn("day_gap", gap).drop("invoice_key", "first_id")
 
 
 def duplicate_clusters(df: DataFrame, window_days: int = 7, min_size: int = 2) -> DataFrame:
     """Rows in chains of `min_size` or more, with chain number and size."""
     keyed = with_invoice_key(df)
     chains = cluster_profile(day_profile(keyed), window_days).filter(F.col("cluster_size") >= min_size)
-    return (
-        _onto_rows(keyed, chains, "cluster", "cluster_size").filter(F.col("cluster_size").isNotNull()).drop("invoice_key")
-    )
+    found = _rows_of_days(keyed, chains, hot_rows(chains, "payments"), "cluster", "cluster_size")
+    return found.drop("invoice_key")
 
 
 def cluster_sizes(df: DataFrame, window_days: int = 7) -> DataFrame:
@@ -112,33 +142,37 @@ def cluster_sizes(df: DataFrame, window_days: int = 7) -> DataFrame:
     )
 
 
-def sql_flagged_days(df: DataFrame, window_days: int = 7) -> DataFrame:
-    """(group, date) rows holding two different ids within the window.
+def _sql_keyed(df: DataFrame) -> DataFrame:
+    """The SQL rule compares with `=`, so NULL keys, dates and ids never match."""
+    return with_sql_invoice_key(df).dropna(
+        subset=["transaction_id", "transaction_date", "vendor_id", "amount", "currency"]
+    )
+
+
+def _id_profile(keyed: DataFrame) -> DataFrame:
+    return day_profile(keyed, F.min("transaction_id").alias("low_id"), F.max("transaction_id").alias("high_id"))
 
-    The SQL rule compares with `=`, so NULL keys, dates and ids never match. A
-    date qualifies when smallest and largest id within +-window differ: then
+
+def _partnered(ids: DataFrame, window_days: int) -> DataFrame:
+    """(group, date) rows with two different ids within the window.
+
+    A date qualifies when smallest and largest id within +-window differ: then
     each of its rows has a partner with another id. No pairs are formed.
     """
-    ids = day_profile(
-        _sql_keyed(df), F.min("transaction_id").alias("low_id"), F.max("transaction_id").alias("high_id")
-    )
     near = Window.partitionBy(*GROUP).orderBy(F.unix_date("transaction_date")).rangeBetween(-window_days, window_days)
     low, high = F.min("low_id").over(near), F.max("high_id").over(near)
-    return ids.withColumn("is_duplicate", low != high).filter("is_duplicate").drop("low_id", "high_id")
-
-
-def _sql_keyed(df: DataFrame) -> DataFrame:
-    return with_sql_invoice_key(df).dropna(
-        subset=["transaction_id", "transaction_date", "vendor_id", "amount", "currency"]
-    )
+    return ids.withColumn("has_partner", low != high).filter("has_partner")
 
 
 def semi_join_duplicates(df: DataFrame, window_days: int = 7) -> DataFrame:
     """Rows with another payment of the same key within the window (SQL rule)."""
-    flagged = sql_flagged_days(df, window_days)
-    return _onto_rows(_sql_keyed(df), flagged, "is_duplicate").filter("is_duplicate").select(*df.columns)
+    keyed = _sql_keyed(df)
+    ids = _id_profile(keyed)
+    hot = hot_rows(ids, "payments").filter("low_id <> high_id")
+    return _rows_of_days(keyed, _partnered(ids, window_days), hot).select(*df.columns)
 
 
 def count_semi_join_duplicates(df: DataFrame, window_days: int = 7) -> DataFrame:
     """How many rows the SQL rule flags, summed off the profile: no join back."""
-    return sql_flagged_days(df, window_days).agg(F.coalesce(F.sum("payments"), F.lit(0)).alias("exception_count"))
+    flagged = _partnered(_id_profile(_sql_keyed(df)), window_days)
+    return flagged.agg(F.coalesce(F.sum("payments"), F.lit(0)).alias("exception_count"))

@@ -14,6 +14,8 @@ BROADCAST_ROWS = 200_000
 # always fewer than HOT_SHARE hot keys, however large the table.
 HOT_SHARE = 10_000
 SALTS = 1 << 20
+# Bits of a key filter; in 64-bit words that is at most 2**20 rows to broadcast.
+FILTER_BITS = 1 << 26
 
 
 def fits_broadcast(side: DataFrame, max_rows: int | None = None) -> bool:
@@ -22,11 +24,17 @@ def fits_broadcast(side: DataFrame, max_rows: int | None = None) -> bool:
     return side.limit(bound + 1).count() <= bound
 
 
+def hot_rows(profile: DataFrame, weight: str) -> DataFrame:
+    """Rows of a per-key profile above the hot share of all its `weight`.
+
+    `weight` counts the rows behind each key, so fewer than HOT_SHARE remain.
+    """
+    return profile.filter(F.col(weight) * HOT_SHARE > profile.agg(F.sum(weight)).scalar())
+
+
 def hot_keys(facts: DataFrame, on: list[str]) -> DataFrame:
     """Keys of `facts` above the hot share: fewer than HOT_SHARE rows."""
-    counts = facts.groupBy(*on).agg(F.count("*").alias("_rows"))
-    total = counts.agg(F.sum("_rows")).scalar()
-    return counts.filter(F.col("_rows") * HOT_SHARE > total).select(*on)
+    return hot_rows(facts.groupBy(*on).agg(F.count("*").alias("_rows")), "_rows").select(*on)
 
 
 def _equal(on: list[str], left: str, right: str, null_safe: bool) -> Column:
@@ -53,7 +61,7 @@ def spread_left_join(
     payload = [c for c in side.columns if c not in on]
     marks = hot_side.select(*[F.col(c).alias(f"_hot_{c}") for c in side.columns], F.lit(True).alias("_is_hot"))
     cold = side.select(*[F.col(c).alias(f"_cold_{c}") for c in side.columns], F.lit(0).cast("long").alias("_cold_salt"))
-    salt = F.when(F.col("_is_hot"), F.pmod(F.xxhash64(spread_by), F.lit(SALTS)) + 1).otherwise(F.lit(0).cast("long"))
+    salt = F.when(F.col("_is_hot"), F.xxhash64(spread_by).bitwiseAND(F.lit(SALTS - 1)) + 1).otherwise(F.lit(0).cast("long"))
     return (
         facts.join(F.broadcast(marks), _equal(on, "", "_hot_", null_safe=True), "left")
         .withColumn("_salt", salt)
@@ -65,16 +73,22 @@ def spread_left_join(
     )
 
 
-def join_profile(facts: DataFrame, profile: DataFrame, on: list[str], weight: str, *payload: str) -> DataFrame:
-    """Join columns of a per-key profile of `facts` back onto its rows, null-safe.
+def may_match(facts: DataFrame, side: DataFrame, on: list[str]) -> DataFrame:
+    """Rows of `facts` whose key may occur in `side`; drops most others unshuffled.
 
-    `weight` counts the rows of each key, so the profile itself tells the hot
-    keys: those above the hot share, fewer than HOT_SHARE of them.
+    A one-hash Bloom filter of fixed size: the bits of `side` are or-ed into
+    words, and the words are broadcast. A fuller filter lets more rows through,
+    so an exact join has to follow.
     """
-    total = profile.agg(F.sum(weight)).scalar()
-    columns = [*on, *payload]
-    hot_side = profile.filter(F.col(weight) * HOT_SHARE > total).select(*columns)
-    return spread_left_join(facts, profile.select(*columns), hot_side, on, "transaction_id", null_safe=True)
+    slot = F.xxhash64(*on).bitwiseAND(F.lit(FILTER_BITS - 1))
+    bit = "shiftleft(1L, cast(_slot & 63 as int))"
+    words = (
+        side.select(slot.alias("_slot"))
+        .groupBy(F.shiftright("_slot", 6).alias("_side_word"))
+        .agg(F.bit_or(F.expr(bit)).alias("_side_bits"))
+    )
+    hit = (F.shiftright("_slot", 6) == F.col("_side_word")) & (F.expr(f"_side_bits & {bit}") != 0)
+    return facts.withColumn("_slot", slot).join(F.broadcast(words), hit, "left_semi").drop("_slot")
 
 
 def lookup_join(

@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.checks import audit_rules
-from ledgerlens.operators.duplicates import mark_duplicates
+from ledgerlens.operators.duplicates import duplicate_rows
 from ledgerlens.operators.ids import with_dense_id
 from ledgerlens.schema import (
     BASE_COLUMNS,
+    CHECKS,
     DEFAULT_SEVERITY,
     DUPLICATE,
     REGISTER_COLUMNS,
@@ -21,6 +22,7 @@ from ledgerlens.schema import (
 
 ENTRY_COLUMNS = [c for c in REGISTER_COLUMNS if c != "exception_id"]
 RANK = "check_rank"
+DUPLICATE_CHECK = CHECKS[0]
 
 
 def severity_of(exception_type: Column) -> Column:
@@ -62,34 +64,34 @@ def build_register(results: dict[str, DataFrame]) -> DataFrame:
 
 
 def exception_entries(merged: DataFrame, settings: AuditSettings = AuditSettings()) -> DataFrame:
-    """Register rows, still unnumbered, in one pass over the transactions.
+    """Register rows, still unnumbered.
 
-    Each row explodes into the ranks of the rules it breaks; type, reason and
-    severity are looked up after that, so a summary that needs none of them
-    computes none of them.
+    The three row-local rules share one scan and no shuffle: each row explodes
+    into the ranks of the rules it breaks. Type, reason and severity are looked
+    up after that, so a summary that needs none of them computes none of them.
+    Only duplicates need other rows, and only their candidates are shuffled.
     """
     rules = audit_rules(settings)
-    broken = F.array_compact(F.array(*[F.when(r.fires, F.lit(rank)) for rank, r in enumerate(rules)]))
     rank = F.col(RANK)
+    local = [F.when(r.fires, F.lit(i)) for i, r in enumerate(rules) if r.check != DUPLICATE_CHECK]
+    broken = merged.withColumn(RANK, F.explode(F.array_compact(F.array(*local))))
+    duplicated = duplicate_rows(merged, settings.dup_window_days).withColumn(RANK, F.lit(0))
     by_rank = lambda texts: F.element_at(F.array(*[F.lit(t) for t in texts]), rank + 1)
-    reason = F.coalesce(*[F.when(rank == i, r.reason) for i, r in enumerate(rules)])
+    texts = {
+        "exception_type": by_rank([r.exception_type for r in rules]),
+        "reason": F.coalesce(*[F.when(rank == i, r.reason) for i, r in enumerate(rules)]),
+        "detected_by": by_rank([r.check for r in rules]),
+    }
     return (
-        mark_duplicates(merged, settings.dup_window_days)
-        .withColumn(RANK, F.explode(broken))
-        .withColumns(
-            {
-                "exception_type": by_rank([r.exception_type for r in rules]),
-                "reason": reason,
-                "detected_by": by_rank([r.check for r in rules]),
-            }
-        )
+        duplicated.unionByName(broken)
+        .withColumns(texts)
         .transform(assign_severity)
         .select(*BASE_COLUMNS, "exception_type", "reason", "severity", "detected_by", RANK)
     )
 
 
 def exception_register(merged: DataFrame, settings: AuditSettings = AuditSettings()) -> DataFrame:
-    """Numbered register in one pass over prepared, limit-merged transactions."""
+    """Numbered register over prepared, limit-merged transactions."""
     return number_exceptions(exception_entries(merged, settings))
 
 

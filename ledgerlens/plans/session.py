@@ -23,6 +23,7 @@ def local_session(cores: int | str | None = None) -> SparkSession:
     spark = (
         builder.config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )

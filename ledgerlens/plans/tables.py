@@ -14,11 +14,15 @@ from ledgerlens.schema import BASE_COLUMNS
 
 COPY_ID_STEP = 1_000_000_000
 
+# Declared, so that reading starts without a pass over the files for their schema.
+EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
+SUPPLIER = "s_suppkey bigint, s_name string"
+
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     event, ts = F.col("event_id"), F.col("ts")
     every = lambda n: event % n == 0
-    payments = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+    payments = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet").select(
         event,
         ts.cast("date").alias("paid_on"),
         F.date_format(ts, "HH:mm:ss").alias("transaction_time"),
@@ -45,7 +49,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("s_suppkey")
-    return spark.read.parquet(f"{sf_dir}/supplier.parquet").select(
+    return spark.read.schema(SUPPLIER).parquet(f"{sf_dir}/supplier.parquet").select(
         key.alias("vendor_id"),
         F.col("s_name").alias("vendor_name"),
         F.lit("GBP").alias("currency"),
