@@ -87,13 +87,13 @@ def _rows_of_days(keyed: DataFrame, days: DataFrame, hot: DataFrame, *payload: s
     filter are shuffled.
     """
     days = days.select(*GROUP_DAY, *payload).repartition(*GROUP_DAY)
-    found = F.lit(True).alias("_found")
+    columns = [*GROUP_DAY, *payload, "true AS _found"]
     return (
         may_match(keyed, days, GROUP_DAY)
         .transform(
             spread_left_join,
-            days.select("*", found),
-            hot.select(*GROUP_DAY, *payload, found),
+            days.selectExpr(*columns),
+            hot.selectExpr(*columns),
             GROUP_DAY,
             "transaction_id",
             null_safe=True,

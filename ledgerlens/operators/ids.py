@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.sources.scratch import ensure_checkpoint_dir
+from ledgerlens.sources.scratch import materialise
 
 ROW_BITS = 33  # monotonically_increasing_id: partition above, row position below
 
@@ -18,9 +18,8 @@ def with_dense_id(df: DataFrame, order: list, name: str) -> DataFrame:
     re-run could draw other bounds. The second pass adds each partition's
     offset, a table of one row per partition.
     """
-    ensure_checkpoint_dir(df.sparkSession)
     slot = F.col("_slot")
-    placed = df.orderBy(*order).withColumn("_slot", F.monotonically_increasing_id()).checkpoint()
+    placed = materialise(df.orderBy(*order).withColumn("_slot", F.monotonically_increasing_id()))
     placed = placed.withColumns(
         {"_part": F.shiftright(slot, ROW_BITS), "_pos": slot.bitwiseAND(F.lit((1 << ROW_BITS) - 1))}
     )

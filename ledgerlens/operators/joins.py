@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A side table up to this many rows is broadcast (narrow rows: some tens of MB).
@@ -29,7 +26,7 @@ def hot_rows(profile: DataFrame, weight: str) -> DataFrame:
 
     `weight` counts the rows behind each key, so fewer than HOT_SHARE remain.
     """
-    return profile.filter(F.col(weight) * HOT_SHARE > profile.agg(F.sum(weight)).scalar())
+    return profile.filter(F.expr(f"{weight} * {HOT_SHARE}") > profile.agg(F.sum(weight)).scalar())
 
 
 def hot_keys(facts: DataFrame, on: list[str]) -> DataFrame:
@@ -37,9 +34,8 @@ def hot_keys(facts: DataFrame, on: list[str]) -> DataFrame:
     return hot_rows(facts.groupBy(*on).agg(F.count("*").alias("_rows")), "_rows").select(*on)
 
 
-def _equal(on: list[str], left: str, right: str, null_safe: bool) -> Column:
-    pairs = [(F.col(left + c), F.col(right + c)) for c in on]
-    return reduce(and_, [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs])
+def _equal(on: list[str], prefix: str, operator: str) -> str:
+    return " AND ".join(f"{c} {operator} {prefix}{c}" for c in on)
 
 
 def spread_left_join(
@@ -52,24 +48,22 @@ def spread_left_join(
 ) -> DataFrame:
     """`facts` LEFT JOIN `side`, with the rows of hot keys kept off the join key.
 
-    `hot_side` has the columns of `side`, one row per hot key and at most
+    `hot_side` has the columns of `side`, one row per hot key and fewer than
     HOT_SHARE keys, so it is broadcast. Rows it marks get a salt from
     `spread_by` and spread over all tasks in the shuffle join, where they match
     nothing; all other rows meet `side` there under salt 0. The salt is a hash
     of the row, so a lost task recomputes the same one.
     """
     payload = [c for c in side.columns if c not in on]
-    marks = hot_side.select(*[F.col(c).alias(f"_hot_{c}") for c in side.columns], F.lit(True).alias("_is_hot"))
-    cold = side.select(*[F.col(c).alias(f"_cold_{c}") for c in side.columns], F.lit(0).cast("long").alias("_cold_salt"))
-    salt = F.when(F.col("_is_hot"), F.xxhash64(spread_by).bitwiseAND(F.lit(SALTS - 1)) + 1).otherwise(F.lit(0).cast("long"))
+    marks = hot_side.selectExpr(*[f"{c} AS _hot_{c}" for c in side.columns], "true AS _is_hot")
+    cold = side.selectExpr(*[f"{c} AS _cold_{c}" for c in side.columns], "0L AS _cold_salt")
+    salt = F.expr(f"CASE WHEN _is_hot THEN (xxhash64({spread_by}) & {SALTS - 1}L) + 1 ELSE 0L END")
+    on_cold = _equal(on, "_cold_", "<=>" if null_safe else "=") + " AND _salt = _cold_salt"
     return (
-        facts.join(F.broadcast(marks), _equal(on, "", "_hot_", null_safe=True), "left")
+        facts.join(F.broadcast(marks), F.expr(_equal(on, "_hot_", "<=>")), "left")
         .withColumn("_salt", salt)
-        .join(cold, _equal(on, "", "_cold_", null_safe) & (F.col("_salt") == F.col("_cold_salt")), "left")
-        .select(
-            *[F.col(c) for c in facts.columns],
-            *[F.coalesce(F.col(f"_hot_{c}"), F.col(f"_cold_{c}")).alias(c) for c in payload],
-        )
+        .join(cold, F.expr(on_cold), "left")
+        .selectExpr(*facts.columns, *[f"coalesce(_hot_{c}, _cold_{c}) AS {c}" for c in payload])
     )
 
 
@@ -80,14 +74,14 @@ def may_match(facts: DataFrame, side: DataFrame, on: list[str]) -> DataFrame:
     words, and the words are broadcast. A fuller filter lets more rows through,
     so an exact join has to follow.
     """
-    slot = F.xxhash64(*on).bitwiseAND(F.lit(FILTER_BITS - 1))
-    bit = "shiftleft(1L, cast(_slot & 63 as int))"
+    slot = F.expr(f"xxhash64({', '.join(on)}) & {FILTER_BITS - 1}L")
+    bit = "shiftleft(1L, cast(_slot & 63 AS int))"
     words = (
         side.select(slot.alias("_slot"))
-        .groupBy(F.shiftright("_slot", 6).alias("_side_word"))
-        .agg(F.bit_or(F.expr(bit)).alias("_side_bits"))
+        .groupBy(F.expr("shiftright(_slot, 6) AS _side_word"))
+        .agg(F.expr(f"bit_or({bit}) AS _side_bits"))
     )
-    hit = (F.shiftright("_slot", 6) == F.col("_side_word")) & (F.expr(f"_side_bits & {bit}") != 0)
+    hit = F.expr(f"shiftright(_slot, 6) = _side_word AND (_side_bits & {bit}) <> 0")
     return facts.withColumn("_slot", slot).join(F.broadcast(words), hit, "left_semi").drop("_slot")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CONF = "spark.checkpoint.dir"
 
@@ -25,6 +25,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
 
 
+def materialise(df: DataFrame) -> DataFrame:
+    """Store `df` in the shared folder and read it from there: for a frame used many times."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder, so no run overwrites another."""
     ensure_checkpoint_dir(spark)
