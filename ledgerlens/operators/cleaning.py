@@ -7,16 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens import functions as fn
-from ledgerlens.schema import BASE_COLUMNS
+from ledgerlens.schema import BASE_COLUMNS, quoted
 
 
 def normalise_strings(df: DataFrame) -> DataFrame:
     """Strip every text column; NULL stays NULL."""
+    columns = zip(quoted(df.columns), df.schema.fields)
     return df.select(
-        *[
-            fn.strip(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
-            for f in df.schema.fields
-        ]
+        *[fn.strip(F.col(c)).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(c) for c, f in columns]
     )
 
 

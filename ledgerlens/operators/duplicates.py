@@ -111,7 +111,7 @@ def duplicate_rows(df: DataFrame, window_days: int = 7) -> DataFrame:
     keyed = with_invoice_key(df)
     days = day_profile(keyed)
     flagged = chain_marks(days, window_days).filter("is_duplicate")
-    return _rows_of_days(keyed, flagged, hot_rows(days, "payments").filter("payments > 1")).select(*df.columns)
+    return _rows_of_days(keyed, flagged, hot_rows(days, "payments").filter("payments > 1")).drop("invoice_key")
 
 
 def day_gaps(df: DataFrame) -> DataFrame:
@@ -169,7 +169,7 @@ def semi_join_duplicates(df: DataFrame, window_days: int = 7) -> DataFrame:
     keyed = _sql_keyed(df)
     ids = _id_profile(keyed)
     hot = hot_rows(ids, "payments").filter("low_id <> high_id")
-    return _rows_of_days(keyed, _partnered(ids, window_days), hot).select(*df.columns)
+    return _rows_of_days(keyed, _partnered(ids, window_days), hot).drop("invoice_key")
 
 
 def count_semi_join_duplicates(df: DataFrame, window_days: int = 7) -> DataFrame:

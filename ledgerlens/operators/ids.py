@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.sources.scratch import materialise
+from ledgerlens.sources.scratch import stored
 
 ROW_BITS = 33  # monotonically_increasing_id: partition above, row position below
 
@@ -13,13 +13,13 @@ ROW_BITS = 33  # monotonically_increasing_id: partition above, row position belo
 def with_dense_id(df: DataFrame, order: list, name: str) -> DataFrame:
     """Sort `df`, then number it partition by partition.
 
-    The sort range-partitions by sampled bounds, so the sorted rows are
-    checkpointed with their (partition, position) before anything is counted: a
-    re-run could draw other bounds. The second pass adds each partition's
-    offset, a table of one row per partition.
+    The sort range-partitions by sampled bounds, so the sorted rows are stored
+    with their (partition, position) before anything is counted: a re-run could
+    draw other bounds. The second pass adds each partition's offset, a table of
+    one row per partition.
     """
     slot = F.col("_slot")
-    placed = materialise(df.orderBy(*order).withColumn("_slot", F.monotonically_increasing_id()))
+    placed = stored(df.orderBy(*order).withColumn("_slot", F.monotonically_increasing_id()))
     placed = placed.withColumns(
         {"_part": F.shiftright(slot, ROW_BITS), "_pos": slot.bitwiseAND(F.lit((1 << ROW_BITS) - 1))}
     )

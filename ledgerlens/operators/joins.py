@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.schema import quoted
+
 # A side table up to this many rows is broadcast (narrow rows: some tens of MB).
 BROADCAST_ROWS = 200_000
 # A key is hot when it holds more than 1/HOT_SHARE of all rows, so there are
@@ -16,9 +18,8 @@ FILTER_BITS = 1 << 26
 
 
 def fits_broadcast(side: DataFrame, max_rows: int | None = None) -> bool:
-    """Count `side`, reading no further than one row beyond the bound."""
-    bound = BROADCAST_ROWS if max_rows is None else max_rows
-    return side.limit(bound + 1).count() <= bound
+    """Count `side` first: a side of unknown size is never broadcast."""
+    return side.count() <= (BROADCAST_ROWS if max_rows is None else max_rows)
 
 
 def hot_rows(profile: DataFrame, weight: str) -> DataFrame:
@@ -63,7 +64,7 @@ def spread_left_join(
         facts.join(F.broadcast(marks), F.expr(_equal(on, "_hot_", "<=>")), "left")
         .withColumn("_salt", salt)
         .join(cold, F.expr(on_cold), "left")
-        .selectExpr(*facts.columns, *[f"coalesce(_hot_{c}, _cold_{c}) AS {c}" for c in payload])
+        .selectExpr(*quoted(facts.columns), *[f"coalesce(_hot_{c}, _cold_{c}) AS {c}" for c in payload])
     )
 
 
@@ -95,7 +96,7 @@ def lookup_join(
     """`facts` LEFT JOIN the keyed table `side`: broadcast if small, else spread."""
     if fits_broadcast(side, max_rows):
         return facts.join(F.broadcast(side), on, "left").select(
-            *facts.columns, *[c for c in side.columns if c not in on]
+            *quoted(facts.columns), *[c for c in side.columns if c not in on]
         )
     hot_side = hot_keys(facts, on).join(side, on, "left").select(*side.columns)
     return spread_left_join(facts, side, hot_side, on, spread_by)

@@ -19,6 +19,7 @@ from ledgerlens.schema import (
     SEVERITY,
     AuditSettings,
 )
+from ledgerlens.sources.scratch import stored
 
 ENTRY_COLUMNS = [c for c in REGISTER_COLUMNS if c != "exception_id"]
 RANK = "check_rank"
@@ -41,7 +42,9 @@ def register_order() -> list[Column]:
 
 
 def number_exceptions(entries: DataFrame) -> DataFrame:
-    return with_dense_id(entries, register_order(), "exception_id").select(*REGISTER_COLUMNS)
+    """Number the register. It is stored first: a sort reads its input twice, to
+    sample bounds and to move rows, and the checks should run once."""
+    return with_dense_id(stored(entries), register_order(), "exception_id").select(*REGISTER_COLUMNS)
 
 
 def union_entries(results: dict[str, DataFrame]) -> DataFrame:
@@ -97,7 +100,5 @@ def exception_register(merged: DataFrame, settings: AuditSettings = AuditSetting
 
 def checks_per_transaction(register: DataFrame) -> DataFrame:
     """Which checks flagged each transaction: at most four names a row."""
-    return register.groupBy("transaction_id").agg(
-        F.array_sort(F.collect_set("detected_by")).alias("checks"),
-        F.count_distinct("detected_by").alias("check_count"),
-    )
+    checks = register.groupBy("transaction_id").agg(F.array_sort(F.collect_set("detected_by")).alias("checks"))
+    return checks.withColumn("check_count", F.size("checks").cast("long"))

@@ -117,4 +117,4 @@ def seed_over_limit(
     raised = F.round(F.col("approval_limit") * factor, 2).cast("decimal(18,2)")
     one_limit = limits.groupBy("vendor_id").agg(F.min("approval_limit").alias("approval_limit"))
     amount = F.when(hit, F.coalesce(raised, "amount")).otherwise(F.col("amount"))
-    return lookup_join(df, one_limit, ["vendor_id"]).withColumn("amount", amount).select(*df.columns)
+    return lookup_join(df, one_limit, ["vendor_id"]).withColumn("amount", amount).drop("approval_limit")

@@ -10,6 +10,7 @@ from ledgerlens.operators import cleaning, register, summaries
 from ledgerlens.operators.checks import merge_with_vendor_limits
 from ledgerlens.schema import CHECKS, AuditSettings
 from ledgerlens.sources import csv
+from ledgerlens.sources.scratch import stored
 
 
 @dataclass(frozen=True)
@@ -25,8 +26,8 @@ class AuditResult:
 def audit(transactions: DataFrame, limits: DataFrame, settings: AuditSettings = AuditSettings()) -> AuditResult:
     """Audit cleaned transactions against cleaned vendor limits.
 
-    Numbering the register checkpoints it, so the summaries read the stored
-    register instead of running the checks again.
+    Numbering the register stores it, so the summaries read the stored register
+    instead of running the checks again.
     """
     merged = merge_with_vendor_limits(transactions, limits)
     found = register.exception_register(merged, settings)
@@ -48,8 +49,12 @@ def run_audit(
     settings: AuditSettings = AuditSettings(),
     fmt: str = "csv",
 ) -> AuditResult:
-    """Read both CSV tables, audit them and write the four result tables to `out_dir`."""
-    transactions = cleaning.clean_transactions(csv.load_transactions(spark, transactions_path))
+    """Read both CSV tables, audit them and write the four result tables to `out_dir`.
+
+    The cleaned transactions are stored once: the checks read them several times,
+    each time other columns, and text would be parsed anew.
+    """
+    transactions = stored(cleaning.clean_transactions(csv.load_transactions(spark, transactions_path)))
     limits = cleaning.clean_vendor_limits(csv.load_vendor_limits(spark, limits_path))
     result = audit(transactions, limits, settings)
     csv.export_exception_register(result.register, out_dir, fmt)

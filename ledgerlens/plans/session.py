@@ -22,6 +22,7 @@ def local_session(cores: int | str | None = None) -> SparkSession:
         builder = builder.config(key, value)
     spark = (
         builder.config("spark.sql.shuffle.partitions", "8")
+        .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -31,7 +31,7 @@ from ledgerlens.schema import (
     VENDOR_SCHEMA,
 )
 from ledgerlens.sources import csv, staging
-from ledgerlens.sources.scratch import materialise, scratch_path
+from ledgerlens.sources.scratch import scratch_path, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -527,7 +527,7 @@ def dim_severity(spark, sf_dir):
     JOIN (SELECT vendor_id, min(vendor_name) AS dim_vendor_name FROM entries GROUP BY vendor_id) USING (vendor_id)"""
 )
 def star_join(spark, sf_dir):
-    facts = materialise(entries(spark, sf_dir))
+    facts = stored(entries(spark, sf_dir))
     star = measures.star_join(
         facts, measures.calendar(facts), measures.vendor_dimension(facts), measures.severity_dimension(facts)
     )
@@ -726,7 +726,7 @@ def register_roundtrip(spark, sf_dir):
     UNION ALL SELECT 'data_quality_summary', unnest(['amount', 'transaction_date', 'transaction_time']), '0'"""
 )
 def summaries_roundtrip(spark, sf_dir):
-    found = materialise(entries(spark, sf_dir))
+    found = stored(entries(spark, sf_dir))
     paths = csv.export_summaries(
         summaries.summarise_by_type(found),
         summaries.summarise_by_vendor(found),

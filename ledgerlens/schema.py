@@ -59,6 +59,11 @@ class AuditSettings:
     business_days: tuple[int, ...] = (0, 1, 2, 3, 4)  # 0 = Monday
 
 
+def quoted(columns) -> list[str]:
+    """Column names safe to select by, whatever characters a file header holds."""
+    return ["`" + c.replace("`", "``") + "`" for c in columns]
+
+
 def require_columns(df, columns) -> None:
     """Raise ValueError naming every column of `columns` that `df` lacks."""
     missing = [c for c in columns if c not in df.columns]

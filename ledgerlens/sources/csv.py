@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens import functions as fn
-from ledgerlens.schema import BASE_COLUMNS, VENDOR_COLUMNS, require_columns
+from ledgerlens.schema import BASE_COLUMNS, VENDOR_COLUMNS, quoted, require_columns
 
 # Quotes are doubled inside quoted fields and white space is data, both ways.
 CSV_OPTIONS = {
@@ -28,7 +28,7 @@ def read_text_table(spark: SparkSession, path: str, required: list[str], multili
     options = {**CSV_OPTIONS, "enforceSchema": False, "multiLine": multiline}
     df = spark.read.options(**options).csv(path)
     require_columns(df, required)
-    return df.select(*[fn.null_tokens(F.col(c)).alias(c) for c in df.columns])
+    return df.select(*[fn.null_tokens(F.col(q)).alias(c) for q, c in zip(quoted(df.columns), df.columns)])
 
 
 def load_transactions(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:

@@ -25,13 +25,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Store `df` in the shared folder and read it from there: for a frame used many times."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder, so no run overwrites another."""
     ensure_checkpoint_dir(spark)
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write `df` to the shared folder and read it from there.
+
+    Cuts the lineage of a frame that is used several times. As Parquet, so that
+    each later pass reads only the columns it needs.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

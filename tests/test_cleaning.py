@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 
 from ledgerlens import functions as fn
-from ledgerlens.operators import cleaning, summaries
+from ledgerlens.operators import checks, cleaning, summaries
 from ledgerlens.schema import BASE_COLUMNS, TRANSACTION_SCHEMA, VENDOR_COLUMNS, VENDOR_SCHEMA
 from ledgerlens.sources import csv, scratch, staging
 
@@ -121,10 +121,16 @@ def test_clean_pipeline_on_dirty_rows(spark, tmp_path):
 
 
 def test_columns_are_found_by_name(spark, tmp_path):
-    names = ["note", *reversed(BASE_COLUMNS)]
+    names = ["side note. no 1", *reversed(BASE_COLUMNS)]
     df = read(spark, tmp_path, "x,posted,BACS,INV,GBP,5,Vendor,V1,10:00:00,2024-01-08,T1", header=",".join(names))
     row = df.first()
-    assert (row.transaction_id, row.amount, row.note) == ("T1", "5", "x")
+    assert (row.transaction_id, row.amount, row["side note. no 1"]) == ("T1", "5", "x")
+    limits = spark.createDataFrame([("V1", Decimal(1))], "vendor_id string, approval_limit decimal(18,2)")
+    for max_rows in (None, 0):
+        merged = checks.merge_with_vendor_limits(cleaning.clean_transactions(df), limits, max_rows)
+        assert merged.columns[0] == "side note. no 1"
+        assert [t.count() for t in checks.run_all_checks(merged).values()] == [0, 0, 0, 1]
+        assert checks.sql_duplicate_payments(merged).count() == 0
 
 
 def test_missing_columns_are_named(spark, tmp_path):
