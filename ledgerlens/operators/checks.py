@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens import functions as fn
+from ledgerlens import schema as texts
 from ledgerlens.operators.cleaning import base_view
 from ledgerlens.operators.duplicates import duplicate_rows, semi_join_duplicates
 from ledgerlens.operators.joins import lookup_join
@@ -41,19 +42,11 @@ def merge_with_vendor_limits(transactions: DataFrame, limits: DataFrame, max_row
 
 
 def duplicate_rule(s: AuditSettings) -> Rule:
-    reason = (
-        f"Multiple payments with identical vendor, amount, currency and invoice within {s.dup_window_days} days"
-    )
-    return Rule(CHECKS[0], DUPLICATE, F.lit(True), F.lit(reason))
+    return Rule(CHECKS[0], DUPLICATE, F.lit(True), F.lit(texts.DUPLICATE_REASON.format(days=s.dup_window_days)))
 
 
 def missing_invoice_rule(s: AuditSettings) -> Rule:
-    return Rule(
-        CHECKS[1],
-        MISSING_INVOICE,
-        F.col("is_missing_invoice"),
-        F.lit("Invoice number is missing or blank"),
-    )
+    return Rule(CHECKS[1], MISSING_INVOICE, F.col("is_missing_invoice"), F.lit(texts.MISSING_REASON))
 
 
 def out_of_hours_rule(s: AuditSettings) -> Rule:
@@ -61,17 +54,16 @@ def out_of_hours_rule(s: AuditSettings) -> Rule:
     hour = F.col("hour_of_day")
     outside = hour.isNull() | (hour < s.start_hour) | (hour >= s.end_hour)
     off_day = ~F.coalesce(F.col("day_of_week").isin(*s.business_days), F.lit(False))
-    hours = f"Transaction outside business hours ({s.start_hour:02d}:00-{s.end_hour:02d}:00)"
-    reason = F.when(off_day, F.lit("Transaction on a non-business day")).otherwise(F.lit(hours))
+    hours = texts.HOURS_REASON.format(start=s.start_hour, end=s.end_hour)
+    reason = F.when(off_day, F.lit(texts.OFF_DAY_REASON)).otherwise(F.lit(hours))
     return Rule(CHECKS[2], OUT_OF_HOURS, outside | off_day, reason)
 
 
 def over_limit_rule(s: AuditSettings) -> Rule:
     """Compares in whatever currency; the validation suite reports mismatches."""
     amount, limit = F.col("amount"), F.col("approval_limit")
-    reason = F.concat(
-        F.lit("Payment amount "), fn.money_text(amount), F.lit(" exceeds approval limit "), fn.money_text(limit)
-    )
+    paid, exceeds = texts.LIMIT_REASON
+    reason = F.concat(F.lit(paid), fn.money_text(amount), F.lit(exceeds), fn.money_text(limit))
     return Rule(CHECKS[3], OVER_LIMIT, limit.isNotNull() & (amount > limit), reason)
 
 
@@ -148,7 +140,8 @@ def sql_out_of_hours_test(opens: str = "09:00:00", closes: str = "18:00:00") ->
 
 
 def sql_out_of_hours(tx: DataFrame) -> DataFrame:
-    reason = F.when(fn.is_weekend(F.col("transaction_date")), "Weekend").otherwise("Outside business hours")
+    weekend = fn.is_weekend(F.col("transaction_date"))
+    reason = F.when(weekend, texts.SQL_WEEKEND_REASON).otherwise(texts.SQL_HOURS_REASON)
     return tx.filter(sql_out_of_hours_test()).select(
         *SQL_COLUMNS, "transaction_time", F.lit(OUT_OF_HOURS).alias("exception_type"), reason.alias("reason")
     )

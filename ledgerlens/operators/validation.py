@@ -11,6 +11,13 @@ from pyspark.sql import types as T
 from ledgerlens import functions as fn
 from ledgerlens.operators.joins import lookup_join
 from ledgerlens.operators.summaries import unpivot_row
+from ledgerlens.schema import (
+    CURRENCY_MISMATCH,
+    INVALID_AMOUNT,
+    INVALID_DATE,
+    MISSING_INVOICE_COUNT,
+    ORPHANED_VENDOR,
+)
 
 EARLIEST_DATE = dt.date(2020, 1, 1)
 
@@ -51,39 +58,39 @@ def _mismatches(profile: DataFrame, vendors: DataFrame) -> DataFrame:
 
 
 def orphaned_vendor(tx: DataFrame, vendors: DataFrame) -> DataFrame:
-    return _report(_total(_orphans(vendor_profile(tx), vendors), "Orphaned_Vendor"), "Orphaned_Vendor")
+    return _report(_total(_orphans(vendor_profile(tx), vendors), ORPHANED_VENDOR), ORPHANED_VENDOR)
 
 
 def currency_mismatch(tx: DataFrame, vendors: DataFrame) -> DataFrame:
-    return _report(_total(_mismatches(vendor_profile(tx), vendors), "Currency_Mismatch"), "Currency_Mismatch")
+    return _report(_total(_mismatches(vendor_profile(tx), vendors), CURRENCY_MISMATCH), CURRENCY_MISMATCH)
 
 
 def missing_invoice(tx: DataFrame) -> DataFrame:
-    found = tx.agg(F.count_if(fn.is_blank(F.col("invoice_number"))).alias("Missing_Invoice"))
-    return _report(found, "Missing_Invoice")
+    found = tx.agg(F.count_if(fn.is_blank(F.col("invoice_number"))).alias(MISSING_INVOICE_COUNT))
+    return _report(found, MISSING_INVOICE_COUNT)
 
 
 def invalid_amounts(tx: DataFrame) -> DataFrame:
-    return _report(tx.agg(F.count_if(invalid_amount()).alias("Invalid_Amount")), "Invalid_Amount")
+    return _report(tx.agg(F.count_if(invalid_amount()).alias(INVALID_AMOUNT)), INVALID_AMOUNT)
 
 
 def invalid_dates(tx: DataFrame, earliest: dt.date = EARLIEST_DATE) -> DataFrame:
-    return _report(tx.agg(F.count_if(invalid_date(earliest)).alias("Invalid_Date")), "Invalid_Date")
+    return _report(tx.agg(F.count_if(invalid_date(earliest)).alias(INVALID_DATE)), INVALID_DATE)
 
 
 def validation_report(tx: DataFrame, vendors: DataFrame, earliest: dt.date = EARLIEST_DATE) -> DataFrame:
     """The five checks side by side, all off one vendor and currency profile."""
     row_checks = {
-        "Missing_Invoice": fn.is_blank(F.col("invoice_number")),
-        "Invalid_Amount": invalid_amount(),
-        "Invalid_Date": invalid_date(earliest),
+        MISSING_INVOICE_COUNT: fn.is_blank(F.col("invoice_number")),
+        INVALID_AMOUNT: invalid_amount(),
+        INVALID_DATE: invalid_date(earliest),
     }
     profile = vendor_profile(tx, *[F.count_if(test).alias(name) for name, test in row_checks.items()])
     row_totals = profile.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in row_checks])
     return (
-        _report(_total(_orphans(profile, vendors), "Orphaned_Vendor"), "Orphaned_Vendor")
+        _report(_total(_orphans(profile, vendors), ORPHANED_VENDOR), ORPHANED_VENDOR)
         .unionAll(_report(row_totals, *row_checks))
-        .unionAll(_report(_total(_mismatches(profile, vendors), "Currency_Mismatch"), "Currency_Mismatch"))
+        .unionAll(_report(_total(_mismatches(profile, vendors), CURRENCY_MISMATCH), CURRENCY_MISMATCH))
     )
 
 

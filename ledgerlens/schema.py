@@ -36,6 +36,7 @@ VENDOR_SCHEMA = T.StructType(
 
 BASE_COLUMNS = TRANSACTION_SCHEMA.fieldNames()
 VENDOR_COLUMNS = VENDOR_SCHEMA.fieldNames()
+SEVERITY_RANK = {"High": 1, "Medium": 2, "Low": 3}
 REGISTER_COLUMNS = ["exception_id", *BASE_COLUMNS, "exception_type", "reason", "severity", "detected_by"]
 
 # Exception types, severities and check names of the register.
@@ -46,7 +47,22 @@ OVER_LIMIT = "Exceeds Approval Limit"
 CHECKS = ("duplicate_payments", "missing_invoice_numbers", "out_of_hours", "exceeds_approval_limit")
 SEVERITY = {DUPLICATE: "High", MISSING_INVOICE: "Medium", OVER_LIMIT: "High", OUT_OF_HOURS: "Low"}
 DEFAULT_SEVERITY = "Medium"
-SEVERITY_RANK = {"High": 1, "Medium": 2, "Low": 3}
+
+# Reason texts of the register and of the SQL list.
+DUPLICATE_REASON = "Multiple payments with identical vendor, amount, currency and invoice within {days} days"
+MISSING_REASON = "Invoice number is missing or blank"
+OFF_DAY_REASON = "Transaction on a non-business day"
+HOURS_REASON = "Transaction outside business hours ({start:02d}:00-{end:02d}:00)"
+LIMIT_REASON = ("Payment amount ", " exceeds approval limit ")
+SQL_WEEKEND_REASON = "Weekend"
+SQL_HOURS_REASON = "Outside business hours"
+
+# Names of the validation checks.
+ORPHANED_VENDOR = "Orphaned_Vendor"
+MISSING_INVOICE_COUNT = "Missing_Invoice"
+INVALID_AMOUNT = "Invalid_Amount"
+INVALID_DATE = "Invalid_Date"
+CURRENCY_MISMATCH = "Currency_Mismatch"
 
 
 @dataclass(frozen=True)
@@ -66,6 +82,6 @@ def quoted(columns) -> list[str]:
 
 def require_columns(df, columns) -> None:
     """Raise ValueError naming every column of `columns` that `df` lacks."""
-    missing = [c for c in columns if c not in df.columns]
-    if missing:
-        raise ValueError(f"Missing required columns: {missing}")
+    present = set(df.columns)
+    if absent := [c for c in columns if c not in present]:
+        raise ValueError("Missing required columns: " + ", ".join(absent))
