@@ -4,15 +4,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+DAY = r"^\d{4}-\d{1,2}-\d{1,2}$"
+CLOCK = r"^([01]?\d|2[0-3]):[0-5]?\d:[0-5]?\d$"
+
+
 def parse_day(c: Column) -> Column:
-    """`yyyy-mm-dd` text (one-digit month or day allowed) to DATE, else NULL."""
-    return F.when(c.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.try_to_date(c, "yyyy-M-d"))
+    """`yyyy-mm-dd` text (one-digit month or day allowed) to DATE, else NULL.
+
+    The cast alone would also take years, months and timestamps.
+    """
+    return F.when(c.rlike(DAY), c.try_cast("date"))
 
 
 def parse_clock(c: Column) -> Column:
     """`h:m:s` text to canonical `HH:mm:ss` text, else NULL."""
-    ts = F.try_to_timestamp(c, F.lit("H:m:s"))
-    return F.when(c.rlike(r"^\d{1,2}:\d{1,2}:\d{1,2}$"), F.date_format(ts, "HH:mm:ss"))
+    padded = F.concat_ws(":", *[F.lpad(F.split_part(c, F.lit(":"), F.lit(i)), 2, "0") for i in (1, 2, 3)])
+    return F.when(c.rlike(CLOCK), F.when(F.length(c) == 8, c).otherwise(padded))
 
 
 def hour_of_clock(c: Column) -> Column:

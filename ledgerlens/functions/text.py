@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 # Every Unicode white-space character, so that tabs and no-break spaces go too.
 WHITESPACE = "".join(chr(i) for i in range(sys.maxunicode + 1) if chr(i).isspace())
+ASCII_WHITESPACE = "".join(c for c in WHITESPACE if c.isascii())
 
 # CSV field texts that mean "no value".
 NULL_TOKENS = (
@@ -19,8 +20,12 @@ MISSING_TEXTS = ("", "nan", "None")
 
 
 def strip(c: Column) -> Column:
-    """Trim Unicode white space at both ends; plain `trim` only removes spaces."""
-    return F.trim(c, F.lit(WHITESPACE))
+    """Trim Unicode white space at both ends; plain `trim` only removes spaces.
+
+    The cost grows with the set of characters, so all-ASCII text takes the short one.
+    """
+    is_ascii = F.octet_length(c) == F.char_length(c)
+    return F.when(is_ascii, F.trim(c, F.lit(ASCII_WHITESPACE))).otherwise(F.trim(c, F.lit(WHITESPACE)))
 
 
 def null_tokens(c: Column) -> Column:
