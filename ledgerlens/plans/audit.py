@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlens.operators import cleaning, register, summaries
 from ledgerlens.operators.checks import merge_with_vendor_limits
+from ledgerlens.operators.joins import fits_broadcast
 from ledgerlens.schema import CHECKS, AuditSettings
 from ledgerlens.sources import csv
 from ledgerlens.sources.scratch import stored
@@ -27,9 +28,12 @@ def audit(transactions: DataFrame, limits: DataFrame, settings: AuditSettings =
     """Audit cleaned transactions against cleaned vendor limits.
 
     Numbering the register stores it, so the summaries read the stored register
-    instead of running the checks again.
+    instead of running the checks again. Where the limits are too many to
+    broadcast, the merged table is stored too: it is shuffled once, not per check.
     """
     merged = merge_with_vendor_limits(transactions, limits)
+    if not fits_broadcast(limits):
+        merged = stored(merged)
     found = register.exception_register(merged, settings)
     return AuditResult(
         transactions=transactions,

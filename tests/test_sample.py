@@ -6,8 +6,8 @@ import pytest
 import sample
 from pyspark.sql import functions as F
 
-from ledgerlens.operators import checks, cleaning, measures, register, summaries, validation
-from ledgerlens.plans.audit import run_audit
+from ledgerlens.operators import checks, cleaning, joins, measures, register, summaries, validation
+from ledgerlens.plans.audit import audit, run_audit
 from ledgerlens.schema import BASE_COLUMNS, REGISTER_COLUMNS, VENDOR_COLUMNS
 from ledgerlens.sources import csv
 
@@ -90,6 +90,13 @@ def test_both_register_forms_agree(merged, audited):
     assert sorted(union_form.collect()) == sorted(audited.register.collect())
 
 
+def test_vendor_table_too_large_to_broadcast(spark, paths, audited, monkeypatch):
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+    tx = cleaning.clean_transactions(csv.load_transactions(spark, paths[0]))
+    limits = cleaning.clean_vendor_limits(csv.load_vendor_limits(spark, paths[1]))
+    assert sorted(audit(tx, limits).register.collect()) == sorted(audited.register.collect())
+
+
 def test_summaries(audited):
     assert [tuple(r) for r in audited.by_type.collect()] == [
         ("Exceeds Approval Limit", "High", 14),
