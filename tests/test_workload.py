@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as contract
 from ledgerlens.operators import cleaning, duplicates
-from ledgerlens.plans import tables
+from ledgerlens.plans import tables, workload
 
 sys.path.insert(0, str(Path(contract.__file__).parent / "tools"))
 
@@ -23,7 +23,7 @@ def con():
     return compare.open_tables(SF_DIR)
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", workload.QUERIES)
 def test_query_matches_sql(spark, con, name):
     problem, rows = compare.differences(spark, con, name, SF_DIR)
     assert problem is None
@@ -39,7 +39,7 @@ def plan_of(df):
 
 
 def test_queries_and_sql_have_the_same_names():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(workload.QUERIES) == set(workload.ORACLE)
 
 
 def test_scans_read_only_what_is_used(spark):
