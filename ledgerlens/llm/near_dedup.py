@@ -14,9 +14,13 @@ in none of the 24 bands with a probability under 1e-5.
 
 Within a bucket no pairs are listed. Every member is compared with the bucket's
 smallest id on the full sets. Members of one bucket that are not connected by
-then may still link to each other: Jaccard distance obeys the triangle inequality, so only
-members whose distances to the smallest one differ by no more than the
-threshold can, and exactly those are compared. Nothing is capped.
+then may still link to each other. They are compared too, but for pairs that two exact
+bounds rule out inside the join, so that these are never listed:
+- Jaccard distance obeys the triangle inequality, so the distances of a linked
+  pair to the smallest id differ by no more than the threshold;
+- a parity bitmap has a bit flipped for every element of a set, so two bitmaps
+  differ in no more bits than the sets differ in elements.
+Nothing is capped.
 
 Empty and null texts have empty sets and link with nothing. Rows that share an
 id are one document. Rows with a null id are linked with nothing and kept.
@@ -43,6 +47,7 @@ COORDINATES = BANDS * ROWS
 EMPTY = np.uint64(2**64 - 1)
 ROUND_SEEDS = mix64(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
 STEP = np.uint64(0xA0761D6478BD642F)
+PARITY_BITS = 1024
 
 
 def shingle_sets(block: Block, words: int) -> list[np.ndarray]:
@@ -94,6 +99,12 @@ def bands(coordinates: np.ndarray) -> np.ndarray:
     return keys
 
 
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """PARITY_BITS bits, each telling whether an odd number of shingles falls on it."""
+    at = (shingles >> np.uint64(64 - PARITY_BITS.bit_length() + 1)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=PARITY_BITS) & 1).view(np.uint64)
+
+
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     offsets = np.concatenate(([0], np.cumsum([len(a) for a in arrays]))).astype(np.int32)
     values = np.concatenate(arrays) if arrays else np.zeros(0, np.uint64)
@@ -101,7 +112,7 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
 
 
 def _read_sets(df: DataFrame, words: int, with_sets: bool) -> DataFrame:
-    """Per row (id, n, fp1, fp2, hashes): the set's size, two fingerprints, and its bands or the set itself."""
+    """Per row (id, n, fp1, fp2, hashes, parity): the set's size, two fingerprints, and its bands or the set and its bitmap."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -112,14 +123,17 @@ def _read_sets(df: DataFrame, words: int, with_sets: bool) -> DataFrame:
                 second = np.array([int(mix64(s).sum()) for s in sets], np.uint64).view(np.int64)
                 none = np.zeros(0, np.uint64)
                 lists = sets if with_sets else [bands(sketch(s)) if len(s) else none for s in sets]
+                bitmaps = [parity(s) if with_sets else none for s in sets]
                 ids = batch.column(0).slice(block.first, block.n)
                 for at in range(0, block.n, 512):
                     part = slice(at, at + 512)
-                    arrays = [ids.slice(at, 512), *map(pa.array, (size[part], first[part], second[part])), _lists(lists[part])]
-                    yield pa.RecordBatch.from_arrays(arrays, ["id", "n", "fp1", "fp2", "hashes"])
+                    arrays = [ids.slice(at, 512), *map(pa.array, (size[part], first[part], second[part]))]
+                    arrays += [_lists(lists[part]), _lists(bitmaps[part])]
+                    yield pa.RecordBatch.from_arrays(arrays, ["id", "n", "fp1", "fp2", "hashes", "parity"])
 
     id_type = df.schema["id"].dataType.simpleString()
-    return df.select("id", "text").mapInArrow(read, f"id {id_type}, n bigint, fp1 bigint, fp2 bigint, hashes array<bigint>")
+    schema = f"id {id_type}, n bigint, fp1 bigint, fp2 bigint, hashes array<bigint>, parity array<bigint>"
+    return df.select("id", "text").mapInArrow(read, schema)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -144,7 +158,7 @@ def _links(members: DataFrame, classes: DataFrame, texts: DataFrame, words: int,
     wanted = needed.select("id")
     texts = texts.join(F.broadcast(wanted) if fits_broadcast(wanted) else wanted, "id", "left_semi")
     sets = _read_sets(texts, words, True).join(needed, ["id", "fp1", "fp2"]).dropDuplicates(["id", "fp1", "fp2"])
-    sets = stored(sets.select("id", "hashes"))
+    sets = stored(sets.select("id", "n", "hashes", "parity"))
     near = stored(_verified(pairs, sets, percent))
     stars = near.filter("linked").select("a", "b")
     found = components(stars)
@@ -153,15 +167,15 @@ def _links(members: DataFrame, classes: DataFrame, texts: DataFrame, words: int,
     open_ = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
     distance = near.select(F.col("a").alias("leader"), F.col("b").alias("id"), "distance")
     rest = stored(placed.filter("id <> leader").join(open_.select("bucket"), "bucket").join(distance, ["leader", "id"]))
-    far = 1 - percent / 100 + 1e-9
-    sizes = classes.select("id", "n")
-    left = rest.join(sizes, "id").select("bucket", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("distance").alias("da"), F.col("n").alias("na"))
-    right = rest.join(sizes, "id").select("bucket", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("distance").alias("db"), F.col("n").alias("nb"))
-    more = left.join(right, "bucket").filter("a < b AND ca <> cb").filter(
-        (F.abs(F.col("da") - F.col("db")) <= far)
-        & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-    )
-    more = _verified(stored(more.select("a", "b").distinct()), sets, percent).filter("linked").select("a", "b")
+    rest = rest.join(sets.select("id", "n", "parity"), "id").select("bucket", "id", "component", "distance", "n", "parity")
+    left, right = (rest.toDF("bucket", *[f"{side}_{c}" for c in rest.columns[1:]]) for side in "ab")
+    # a linked pair differs in at most (n + m) * (100 - percent) / (100 + percent) elements
+    differing = " + ".join(f"bit_count(a_parity[{i}] ^ b_parity[{i}])" for i in range(PARITY_BITS // 64))
+    possible = f"""a_id < b_id AND a_component <> b_component
+        AND abs(a_distance - b_distance) <= {1 - percent / 100 + 1e-9}
+        AND {100 + percent} * ({differing}) <= {100 - percent} * (a_n + b_n)"""
+    more = left.join(right, "bucket").filter(possible).select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
+    more = _verified(stored(more.distinct()), sets, percent).filter("linked").select("a", "b")
     return stars.union(more)
 
 
@@ -174,7 +188,7 @@ def near_duplicates(
 ) -> DataFrame:
     """One row per input row: id, n_shingles, component_id (the smallest id reachable by links) and kept."""
     texts = df.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
-    rows = stored(_read_sets(texts, words, False))
+    rows = stored(_read_sets(texts, words, False).drop("parity"))
     one = F.min(F.struct("id", "hashes")).alias("one")
     classes = rows.filter("n > 0 AND id IS NOT NULL").groupBy("fp1", "fp2", "n").agg(one)
     classes = stored(classes.select(F.col("one.id").alias("id"), "fp1", "fp2", "n", F.col("one.hashes").alias("hashes")))
