@@ -14,7 +14,9 @@ is compared with all rows, in blocks.
 Equal vectors form a class: one is indexed, its `k + 1` smallest ids are put in
 after the search. Buckets are cut into blocks of rows and of queries, and each
 pair of blocks is one group, so no task holds more than two blocks. A group
-returns only its best `k + 1` a query.
+returns only its best `k + 1` a query, and only what lies within the distance of
+the 2 * (k + 1)-th nearest sample vector: as many rows are at least that near, so
+nothing farther can be among the k nearest.
 
 Null, zero, non-finite or differently long vectors and null ids take no part.
 """
@@ -114,7 +116,7 @@ def _hashed(rows: DataFrame, hashes) -> DataFrame:
 
 
 def _probes(queries: DataFrame, hashes, sample, wanted: int) -> DataFrame:
-    """(bucket, cls) of every bucket that a query visits."""
+    """(bucket, cls, reach) of every bucket that a query visits; what is farther than `reach` can't be wanted."""
     enough = 1 - (1 - TARGET) ** (1 / TABLES)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,20 +124,24 @@ def _probes(queries: DataFrame, hashes, sample, wanted: int) -> DataFrame:
         for batch in batches:
             points, names = matrix(batch.column(1)), batch.column(0).to_numpy()
             for at in range(len(points)):
-                distances = np.sqrt(((near - points[at]) ** 2).sum(axis=1))
-                distances = np.sort(distances[distances > 0])
+                distances = np.sort(np.sqrt(((near - points[at]) ** 2).sum(axis=1)))
+                last = 2 * (wanted + 1)
+                reach = distances[last - 1] * (1 + 1e-12) if len(distances) >= last else np.inf
+                distances = distances[distances > 0]
                 spread = distances[min(wanted, len(distances)) - 1] / maker.cell if len(distances) else 0.0
                 for table in range(TABLES):
                     place = maker.places(points[at : at + 1], table)[0]
                     keys = maker.keys(probe_cells(place, spread, enough), table)
-                    yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(len(keys), names[at]))], ["bucket", "cls"])
+                    arrays = [pa.array(keys), pa.array(np.full(len(keys), names[at])), pa.array(np.full(len(keys), reach))]
+                    yield pa.RecordBatch.from_arrays(arrays, ["bucket", "cls", "reach"])
 
-    return queries.select("cls", "vec").mapInArrow(read, "bucket bigint, cls bigint")
+    return queries.select("cls", "vec").mapInArrow(read, "bucket bigint, cls bigint, reach double")
 
 
 def nearest_in_block(table: pa.Table, wanted: int) -> pa.Table:
-    """(query, cls, distance): the `wanted` nearest rows of the block for each of its queries."""
+    """(query, cls, distance): the `wanted` nearest rows of the block within reach of each of its queries."""
     is_query = table.column("is_query").to_numpy()
+    reach = table.column("reach").to_numpy()[is_query]
     names, points = table.column("cls").to_numpy(), matrix(table.column("vec"))
     queries, rows, query_names, row_names = points[is_query], points[~is_query], names[is_query], names[~is_query]
     found: list[list] = [[], [], []]
@@ -147,7 +153,7 @@ def nearest_in_block(table: pa.Table, wanted: int) -> pa.Table:
             slack = 1e-9 * (1 + squares.max() + (queries[at] ** 2).sum())
             near = np.flatnonzero(rough <= cut + slack)
             exact = np.sqrt(((rows[near] - queries[at]) ** 2).sum(axis=1))
-            best = np.sort(exact)[: wanted][-1]
+            best = min(np.sort(exact)[:wanted][-1], reach[at])
             near, exact = near[exact <= best], exact[exact <= best]  # ties stay
             found[0].append(np.full(len(near), query_names[at]))
             found[1].append(row_names[near])
@@ -161,15 +167,16 @@ def _blocks(side: DataFrame, key: str, size: int) -> DataFrame:
 
 
 def _met(data: DataFrame, queries: DataFrame, wanted: int) -> DataFrame:
-    """Nearest rows per query within each bucket; `data` and `queries` are (bucket, cls, vec)."""
+    """Nearest rows per query within each bucket; `data` is (bucket, cls, vec), `queries` has `reach` as well."""
     of_data, of_queries = _blocks(data, "bucket", ROWS_BLOCK), _blocks(queries, "bucket", QUERIES_BLOCK)
     both = of_data.withColumnRenamed("blocks", "_rows").join(of_queries.withColumnRenamed("blocks", "_queries"), "bucket")
 
     def placed(side: DataFrame, own: str, other: str, is_query: bool) -> DataFrame:
         block = F.pmod(F.xxhash64(F.lit("block"), "cls"), F.col(own)).cast("int")
         spread = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
-        cut = side.join(both, "bucket").select("bucket", block.alias(own + "_at"), spread.alias(other + "_at"), "cls", "vec")
-        return cut.select("bucket", "_rows_at", "_queries_at", "cls", "vec", F.lit(is_query).alias("is_query"))
+        reach = F.col("reach") if is_query else F.lit(float("inf")).alias("reach")
+        cut = side.join(both, "bucket").select("bucket", block.alias(own + "_at"), spread.alias(other + "_at"), "cls", "vec", reach)
+        return cut.select("bucket", "_rows_at", "_queries_at", "cls", "vec", "reach", F.lit(is_query).alias("is_query"))
 
     every = placed(data, "_rows", "_queries", False).union(placed(queries, "_queries", "_rows", True))
     return every.groupBy("bucket", "_rows_at", "_queries_at").applyInArrow(
@@ -203,7 +210,7 @@ def nearest(
     hashes = context.broadcast(Hashes(sample.shape[1], n, radius))
     index = stored(_hashed(distinct, hashes))
     probes = _probes(asking.repartition(max(1, context.defaultParallelism), "cls"), hashes, context.broadcast(sample), k)
-    probed = stored(probes.join(asking, "cls").select("bucket", "cls", "vec"))
+    probed = stored(probes.join(asking, "cls").select("bucket", "cls", "vec", "reach"))
     found = stored(_met(index, probed, wanted).distinct())
     # queries that found too few meet all rows, cut into blocks by a hash
     short = asking.join(found.groupBy("query").agg(F.count("*").alias("_n")), F.col("cls") == F.col("query"), "left")
@@ -211,7 +218,7 @@ def nearest(
     blocks = max(1, n // ROWS_BLOCK)
     all_rows = distinct.select(F.pmod("cls", F.lit(blocks)).alias("bucket"), "cls", "vec")
     every_block = F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))
-    for_all = short.select(F.explode(every_block).alias("bucket"), "cls", "vec")
+    for_all = short.select(F.explode(every_block).alias("bucket"), "cls", "vec", F.lit(float("inf")).alias("reach"))
     more = _met(all_rows, for_all, wanted)
     found = found.union(more).distinct()
     members = distinct.select("cls", "ids", F.col("ids")[0].alias("first"))
