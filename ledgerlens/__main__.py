@@ -16,12 +16,15 @@ def main() -> None:
     parser.add_argument("--limits", required=True, help="vendor approval limits, CSV file or folder")
     parser.add_argument("--out", required=True, help="folder for the register and the summaries")
     parser.add_argument("--format", default="csv", choices=["csv", "parquet"], help="format of the results")
+    parser.add_argument("--multiline", action="store_true", help="fields may hold quoted line breaks (one task a file)")
+    parser.add_argument("--shuffle-partitions", default="4000", help="width of shuffles before adaptive execution merges them")
     args = parser.parse_args()
 
     builder = SparkSession.builder.appName("ledgerlens")
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
-    result = run_audit(builder.getOrCreate(), args.input, args.limits, args.out, fmt=args.format)
+    spark = builder.config("spark.sql.shuffle.partitions", args.shuffle_partitions).getOrCreate()
+    result = run_audit(spark, args.input, args.limits, args.out, fmt=args.format, multiline=args.multiline)
     for table in (result.row_counts, result.by_type, result.data_quality):
         table.show(truncate=False)
 

@@ -19,7 +19,8 @@ FILTER_BITS = 1 << 26
 
 def fits_broadcast(side: DataFrame, max_rows: int | None = None) -> bool:
     """Count `side` first: a side of unknown size is never broadcast."""
-    return side.count() <= (BROADCAST_ROWS if max_rows is None else max_rows)
+    most = BROADCAST_ROWS if max_rows is None else max_rows
+    return side.limit(most + 1).count() <= most
 
 
 def hot_rows(profile: DataFrame, weight: str) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,7 +47,7 @@ def star_join(register: DataFrame, dates: DataFrame, vendors: DataFrame, severit
     """Fact rows with the attributes of their dimensions.
 
     Dates and severities are small by nature (a row per calendar day, three
-    severities), so Catalyst broadcasts them. Vendors may be many and one may own
+    severities) and are broadcast. Vendors may be many and one may own
     a large share of the facts: hot vendors are split off the shuffle join.
     """
     named = vendors.groupBy("vendor_id").agg(F.min("vendor_name").alias("dim_vendor_name"))
@@ -52,8 +55,8 @@ def star_join(register: DataFrame, dates: DataFrame, vendors: DataFrame, severit
     days = dates.withColumnRenamed("date", "transaction_date")
     return (
         spread_left_join(register, named, hot, ["vendor_id"], "transaction_id")
-        .join(days, "transaction_date", "left")
-        .join(severities, "severity", "left")
+        .join(F.broadcast(days), "transaction_date", "left")
+        .join(F.broadcast(severities), "severity", "left")
     )
 
 
@@ -72,14 +75,18 @@ def _kpis() -> list[Column]:
     ]
 
 
+def _listed(wanted) -> list:
+    return list(wanted) if isinstance(wanted, (list, tuple, set)) else [wanted]
+
+
 def in_context(
     register: DataFrame,
-    severity: str | None = None,
-    exception_type: str | None = None,
-    month: str | None = None,
+    severity: str | list[str] | None = None,
+    exception_type: str | list[str] | None = None,
+    month: str | list[str] | None = None,
     vendor_id=None,
 ) -> DataFrame:
-    """Apply the report's slicers; a slicer left out does not filter."""
+    """Apply the report's slicers, each a value or a list of them; a slicer left out does not filter."""
     tests = {
         "severity": severity,
         "exception_type": exception_type,
@@ -87,11 +94,11 @@ def in_context(
     }
     for column, wanted in tests.items():
         if wanted is not None:
-            register = register.filter(F.col(column) == wanted)
+            register = register.filter(F.col(column).isin(_listed(wanted)))
     if month is not None:
-        first = F.to_date(F.lit(f"{month}-01"))
-        inside = (F.col("transaction_date") >= first) & (F.col("transaction_date") < F.add_months(first, 1))
-        register = register.filter(inside)
+        firsts = [F.to_date(F.lit(f"{m}-01")) for m in _listed(month)]
+        inside = [(F.col("transaction_date") >= d) & (F.col("transaction_date") < F.add_months(d, 1)) for d in firsts]
+        register = register.filter(reduce(or_, inside, F.lit(False)))
     return register
 
 
@@ -109,11 +116,14 @@ def by_type(register: DataFrame) -> DataFrame:
 
 
 def by_month(register: DataFrame) -> DataFrame:
-    """Exceptions per calendar month, counted per day before the calendar join."""
+    """Exceptions per calendar month, counted per day before the calendar join.
+
+    Undated exceptions have a NULL month, so the months add up to the total.
+    """
     daily = register.groupBy("transaction_date").agg(F.count("*").alias("n"), F.sum("amount").alias("amount"))
     days = calendar(daily).select("date", "month")
     return (
-        daily.join(days, F.col("transaction_date") == F.col("date"))
+        daily.join(days, F.col("transaction_date") == F.col("date"), "left")
         .groupBy("month")
         .agg(F.sum("n").alias("total_exceptions"), F.sum("amount").cast("decimal(28,2)").alias("exception_amount"))
     )

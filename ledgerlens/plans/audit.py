@@ -52,14 +52,15 @@ def run_audit(
     out_dir: str,
     settings: AuditSettings = AuditSettings(),
     fmt: str = "csv",
+    multiline: bool = False,
 ) -> AuditResult:
     """Read both CSV tables, audit them and write the four result tables to `out_dir`.
 
     The cleaned transactions are stored once: the checks read them several times,
     each time other columns, and text would be parsed anew.
     """
-    transactions = stored(cleaning.clean_transactions(csv.load_transactions(spark, transactions_path)))
-    limits = cleaning.clean_vendor_limits(csv.load_vendor_limits(spark, limits_path))
+    transactions = stored(cleaning.clean_transactions(csv.load_transactions(spark, transactions_path, multiline)))
+    limits = cleaning.clean_vendor_limits(csv.load_vendor_limits(spark, limits_path, multiline))
     result = audit(transactions, limits, settings)
     csv.export_exception_register(result.register, out_dir, fmt)
     csv.export_summaries(result.by_type, result.by_vendor, result.data_quality, out_dir, fmt)

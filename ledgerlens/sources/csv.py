@@ -16,6 +16,7 @@ CSV_OPTIONS = {
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
 }
+CORRUPT = "_malformed_row"
 
 
 def read_text_table(spark: SparkSession, path: str, required: list[str], multiline: bool = False) -> DataFrame:
@@ -24,13 +25,25 @@ def read_text_table(spark: SparkSession, path: str, required: list[str], multili
     Only the header is read up front. `enforceSchema=False` makes a file whose
     header differs from the first one fail instead of shifting columns.
     `multiline` allows line breaks inside quotes, at the price of one task a file.
+    A row with more or fewer fields than the header fails the read, whichever
+    columns are asked for; `malformed_rows` lists such rows.
     """
-    options = {**CSV_OPTIONS, "enforceSchema": False, "multiLine": multiline}
+    # without pruning every row is parsed whole, so that no field is lost unseen
+    options = {**CSV_OPTIONS, "enforceSchema": False, "multiLine": multiline, "mode": "FAILFAST", "columnPruning": False}
     df = spark.read.options(**options).csv(path)
     require_columns(df, required)
     return df.select(*[fn.null_tokens(F.col(q)).alias(c) for q, c in zip(quoted(df.columns), df.columns)])
 
 
+def malformed_rows(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """Rows that `read_text_table` would fail on: the fields as far as they were read, and the raw text."""
+    options = {**CSV_OPTIONS, "multiLine": multiline, "columnPruning": False}
+    header = spark.read.options(**options).csv(path).schema
+    schema = header.add(CORRUPT, "string")
+    rows = spark.read.schema(schema).options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT).csv(path)
+    return rows.filter(F.col(CORRUPT).isNotNull())
+
+
 def load_transactions(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     return read_text_table(spark, path, BASE_COLUMNS, multiline)
 

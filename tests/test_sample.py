@@ -1,25 +1,23 @@
 """Published results on the thirty-row sample, from CSV to CSV."""
 
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
-import sample
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import checks, cleaning, joins, measures, register, summaries, validation
 from ledgerlens.plans.audit import audit, run_audit
-from ledgerlens.schema import BASE_COLUMNS, REGISTER_COLUMNS, VENDOR_COLUMNS
+from ledgerlens.schema import REGISTER_COLUMNS
 from ledgerlens.sources import csv
 
+DATA = Path(__file__).parent / "data"
+
 
 @pytest.fixture(scope="module")
 def paths(tmp_path_factory):
-    folder = tmp_path_factory.mktemp("sample")
-    return (
-        sample.write_csv(folder / "transactions.csv", BASE_COLUMNS, sample.transaction_rows()),
-        sample.write_csv(folder / "limits.csv", VENDOR_COLUMNS, sample.vendor_rows()),
-        str(folder / "out"),
-    )
+    # fixed values: the sample tables whose published results are checked here
+    return str(DATA / "transactions.csv"), str(DATA / "limits.csv"), str(tmp_path_factory.mktemp("sample") / "out")
 
 
 @pytest.fixture(scope="module")
@@ -175,3 +173,41 @@ def test_written_tables(spark, paths, audited):
     assert spark.read.option("header", True).csv(f"{out}/data_quality_summary.csv").columns == [
         "field", "total_records", "missing_count", "missing_pct",
     ]
+
+
+def test_months_add_up_with_undated_exceptions(merged):
+    undated = merged.withColumn("transaction_date", F.when(F.col("transaction_id") > "T1010", F.col("transaction_date")))
+    entries = register.exception_entries(undated)
+    total = measures.kpi(entries).first()
+    months = measures.by_month(entries).collect()
+    assert any(r["month"] is None for r in months)
+    assert sum(r["total_exceptions"] for r in months) == total["total_exceptions"]
+    assert sum(r["exception_amount"] for r in months) == total["exception_amount"]
+
+
+def test_slicers_take_lists(audited):
+    def count(**context):
+        return measures.in_context(audited.register, **context).count()
+
+    assert count(severity=["High", "Low"]) == count(severity="High") + count(severity="Low")
+    assert count(month=["2024-01", "2024-03"]) == count(month="2024-01") + count(month="2024-03")
+    assert count(vendor_id=[]) == 0
+
+
+@pytest.mark.parametrize(
+    "row", ["T1,2024-01-04,09:15:00,V001,Acme, Inc,1200.50,GBP,I-1,BACS,posted", "T1,2024-01-04,09:15:00,V001"]
+)
+def test_rows_of_another_length_fail_the_audit(spark, paths, tmp_path, row):
+    path = tmp_path / "bad.csv"
+    path.write_text((DATA / "transactions.csv").read_text() + row + "\n")
+    assert [r[csv.CORRUPT] for r in csv.malformed_rows(spark, str(path)).collect()] == [row]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        run_audit(spark, str(path), paths[1], str(tmp_path / "out"))
+
+
+def test_line_breaks_in_quotes(spark, paths, tmp_path):
+    path = tmp_path / "quoted.csv"
+    row = 'T1,2024-01-04,09:15:00,V001,"Acme\nSupplies",1200.50,GBP,I-1,BACS,posted'
+    path.write_text((DATA / "transactions.csv").read_text() + row + "\n")
+    found = run_audit(spark, str(path), paths[1], str(tmp_path / "out"), multiline=True)
+    assert found.transactions.count() == 31
