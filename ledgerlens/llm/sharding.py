@@ -33,7 +33,7 @@ SPLIT = 64  # a group above 1/SPLIT of a shard's share is an item of its own
 CELLS = 256  # a shard, for numbering
 ROW_BYTES = 8
 DIMENSIONS = ["bytes", "tokens", "rows"]
-DOT_WEIGHTS = (8.0, 1.0, 1.0)
+DOT_WEIGHTS = (100.0, 1.0, 1.0)
 
 
 def pack(items: list[Row], shards: int) -> list[tuple[int, int]]:

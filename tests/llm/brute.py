@@ -66,7 +66,7 @@ def removed_lines(documents, min_words=5):
     for i, (place, mine, key) in enumerate(lines):
         for earlier, theirs, _ in lines[:i]:
             ends = mine[0] == theirs[0] or mine[-1] == theirs[-1]  # one edit leaves one end of a line of three words or more
-            if ends and earlier < place and abs(len(mine) - len(theirs)) <= 1 and edits(mine, theirs) <= 1:
+            if ends and earlier < place and abs(len(mine) - len(theirs)) <= 1 and (mine == theirs or edits(mine, theirs) <= 1):
                 removed.setdefault(key, set()).add(place[3])
                 break
     return {key: sorted(numbers) for key, numbers in removed.items()}
