@@ -108,6 +108,9 @@ class Automaton:
         # where no piece crosses: before a meta symbol that follows another character, around line breaks
         self.runs = re.compile(rf"{META}+[^{META}\n]*|\n+|[^{META}\n]+") if not (inner or breaks) else re.compile(r"(?s).+")
         self.remembered: dict[str, list[int]] = {}
+        # what a piece decodes to by itself; None for a byte that is part of a longer character
+        alone = {"b": lambda p: chr(int(p[3:5], 16)) if int(p[3:5], 16) < 128 else None, "c": lambda p: ""}
+        self.plain = [alone.get(k, lambda p: p.replace(META, " "))(p) for p, k in zip(vocabulary.pieces, kinds)]
 
     def spelled(self, letter: str) -> list[int]:
         if len(self.bytes) == 256:
@@ -122,9 +125,15 @@ class Automaton:
         node, step, fail, outputs, penalty, single = 0, self.next, self.fail, self.outputs, self.penalty, self.single
         for end in range(1, n + 1):
             letter = run[end - 1]
-            while node and letter not in step[node]:
-                node = fail[node]
-            node = step[node].get(letter, 0)
+            after = step[node].get(letter)
+            if after is None:
+                start = node
+                while node and letter not in step[node]:
+                    node = fail[node]
+                after = step[node].get(letter, 0)
+                if letter < "\x80":  # remembered: at most 128 a node
+                    step[start][letter] = after
+            node = after
             top, from_, by = float("-inf"), 0, -1
             for length, score, piece in outputs[node]:  # longest first
                 reached = best[end - length] + score
@@ -172,6 +181,11 @@ class Automaton:
 
     def decode(self, ids: list[int]) -> str:
         """Text of the ids: bytes are joined up, the put-in space goes."""
+        try:
+            text = "".join(map(self.plain.__getitem__, ids))
+            return text[1:] if self.vocabulary.dummy_prefix and text.startswith(" ") else text
+        except TypeError:  # a character spelled in several bytes
+            pass
         pieces, kinds, parts = self.vocabulary.pieces, self.vocabulary.kinds, []
         spelled = bytearray()
         for i in ids:
