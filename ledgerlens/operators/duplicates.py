@@ -1,11 +1,12 @@
 """Duplicate payments without sorting or pairing whole groups.
 
 Whether a payment is a duplicate depends only on its group (vendor, amount,
-currency, invoice) and its date. So rows are first counted per group and date
-(combined map-side, a hot group shrinks to one row per day and map task), the
-date rules run on that profile, where a group has at most one row per calendar
-day, and the verdict is joined back onto the rows. A group that holds a third
-of the table costs no task more than any other.
+currency, invoice) and its date. Most groups hold one payment, which can't be a
+duplicate; they are counted off first, and only payments of larger groups go on.
+These are counted per group and date (combined map-side, a hot group shrinks to
+one row per day and map task), the date rules run on that profile, where a group
+has at most one row per calendar day, and the verdict is joined back onto the
+rows. A group that holds a third of the table costs no task more than any other.
 """
 
 from __future__ import annotations
@@ -14,7 +15,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens import functions as fn
-from ledgerlens.operators.joins import hot_rows, may_match, spread_left_join
+from ledgerlens.operators.joins import fits_broadcast, hot_rows, matching, spread_left_join
+from ledgerlens.schema import quoted
+from ledgerlens.sources.scratch import stored
 
 GROUP = ["invoice_key", "amount", "vendor_id", "currency"]
 GROUP_DAY = [*GROUP, "transaction_date"]
@@ -71,65 +74,61 @@ def cluster_profile(profile: DataFrame, window_days: int) -> DataFrame:
     )
 
 
-def _onto_rows(keyed: DataFrame, profile: DataFrame, hot: DataFrame, *payload: str) -> DataFrame:
-    """Join profile columns back onto the rows of each (group, date)."""
-    columns = [*GROUP_DAY, *payload]
-    return spread_left_join(
-        keyed, profile.select(*columns), hot.select(*columns), GROUP_DAY, "transaction_id", null_safe=True
-    )
+def in_repeated_groups(keyed: DataFrame) -> DataFrame:
+    """Rows whose group holds two payments or more, and a few others; stored.
 
+    Groups go by their hash: where two collide, a group of one payment comes
+    along, and its profile says that it is no duplicate.
+    """
+    hashed = keyed.withColumn("_group", F.xxhash64(*GROUP))
+    groups = hashed.groupBy("_group").agg(F.count("*").alias("_payments")).filter("_payments > 1")
+    return stored(matching(hashed, stored(groups), "_group", "_payments", "transaction_id").drop("_group"))
 
-def _rows_of_days(keyed: DataFrame, days: DataFrame, hot: DataFrame, *payload: str) -> DataFrame:
-    """Rows whose (group, date) is in `days`, with payload columns of `days`.
 
-    The days come out of a window sort and feed both the key filter and the
-    join, so they are exchanged once and read twice. Only rows that pass the
-    filter are shuffled.
-    """
-    days = days.select(*GROUP_DAY, *payload).repartition(*GROUP_DAY)
-    columns = [*GROUP_DAY, *payload, "true AS _found"]
-    return (
-        may_match(keyed, days, GROUP_DAY)
-        .transform(
-            spread_left_join,
-            days.selectExpr(*columns),
-            hot.selectExpr(*columns),
-            GROUP_DAY,
-            "transaction_id",
-            null_safe=True,
-        )
-        .filter("_found")
-        .drop("_found")
-    )
+def _onto_rows(rows: DataFrame, days: DataFrame, *payload: str) -> DataFrame:
+    """`rows` with payload columns of their (group, date) in `days` (stored, with `payments`), NULL where it is not there."""
+    days, hot = (d.select(*GROUP_DAY, *payload) for d in (days, hot_rows(days, "payments")))
+    if not fits_broadcast(days):
+        return spread_left_join(rows, days, hot, GROUP_DAY, "transaction_id", null_safe=True)
+    side = days.selectExpr(*[f"{c} AS _day_{c}" for c in GROUP_DAY], *payload)
+    same = " AND ".join(f"{c} <=> _day_{c}" for c in GROUP_DAY)
+    return rows.join(F.broadcast(side), F.expr(same), "left").select(*quoted(rows.columns), *payload)
 
 
-def duplicate_rows(df: DataFrame, window_days: int = 7) -> DataFrame:
-    """Rows of `df` that are duplicates; groups are null-safe.
+def _rows_of_days(rows: DataFrame, days: DataFrame, *payload: str) -> DataFrame:
+    """Rows whose (group, date) is in `days`, with payload columns of `days`."""
+    found = _onto_rows(rows, stored(days).withColumn("_found", F.lit(True)), *payload, "_found")
+    return found.filter("_found").drop("_found")
 
-    A hot day holds several payments, so it is flagged before any date rule.
-    """
-    keyed = with_invoice_key(df)
-    days = day_profile(keyed)
-    flagged = chain_marks(days, window_days).filter("is_duplicate")
-    return _rows_of_days(keyed, flagged, hot_rows(days, "payments").filter("payments > 1")).drop("invoice_key")
+
+def duplicate_rows(df: DataFrame, window_days: int = 7) -> DataFrame:
+    """Rows of `df` that are duplicates; groups are null-safe."""
+    rows = in_repeated_groups(with_invoice_key(df))
+    flagged = chain_marks(day_profile(rows), window_days).filter("is_duplicate")
+    return _rows_of_days(rows, flagged).drop("invoice_key")
 
 
 def day_gaps(df: DataFrame) -> DataFrame:
-    """Days since the previous payment of the group, in (date, id) order."""
+    """Days since the previous payment of the group, in (date, id) order.
+
+    The days that say something (not the only payment of a group) are profiled
+    once; all other rows have no gap.
+    """
     keyed = with_invoice_key(df)
-    profile = chain_marks(day_profile(keyed, F.min("transaction_id").alias("first_id")), 0)
+    rows = in_repeated_groups(keyed.select(*GROUP_DAY, "transaction_id"))
+    days = chain_marks(day_profile(rows, F.min("transaction_id").alias("first_id")), 0)
+    days = stored(days.filter("payments > 1 OR day_gap IS NOT NULL"))
     first_of_day = F.col("transaction_id") == F.col("first_id")
-    gap = F.when(first_of_day, F.col("day_gap")).when(F.col("transaction_date").isNotNull(), 0)
-    hot = hot_rows(profile, "payments")
-    return _onto_rows(keyed, profile, hot, "day_gap", "first_id").withColumn("day_gap", gap).drop("invoice_key", "first_id")
+    same_day = F.col("first_id").isNotNull() & F.col("transaction_date").isNotNull()
+    gap = F.when(first_of_day, F.col("day_gap")).when(same_day, 0)
+    return _onto_rows(keyed, days, "day_gap", "first_id").withColumn("day_gap", gap).drop("invoice_key", "first_id")
 
 
 def duplicate_clusters(df: DataFrame, window_days: int = 7, min_size: int = 2) -> DataFrame:
-    """Rows in chains of `min_size` or more, with chain number and size."""
-    keyed = with_invoice_key(df)
-    chains = cluster_profile(day_profile(keyed), window_days).filter(F.col("cluster_size") >= min_size)
-    found = _rows_of_days(keyed, chains, hot_rows(chains, "payments"), "cluster", "cluster_size")
-    return found.drop("invoice_key")
+    """Rows in chains of `min_size` (2 at least) or more, with chain number and size."""
+    rows = in_repeated_groups(with_invoice_key(df))
+    chains = cluster_profile(day_profile(rows), window_days).filter(F.col("cluster_size") >= max(2, min_size))
+    return _rows_of_days(rows, chains, "cluster", "cluster_size").drop("invoice_key")
 
 
 def cluster_sizes(df: DataFrame, window_days: int = 7) -> DataFrame:
@@ -166,13 +165,12 @@ def _partnered(ids: DataFrame, window_days: int) -> DataFrame:
 
 def semi_join_duplicates(df: DataFrame, window_days: int = 7) -> DataFrame:
     """Rows with another payment of the same key within the window (SQL rule)."""
-    keyed = _sql_keyed(df)
-    ids = _id_profile(keyed)
-    hot = hot_rows(ids, "payments").filter("low_id <> high_id")
-    return _rows_of_days(keyed, _partnered(ids, window_days), hot).drop("invoice_key")
+    rows = in_repeated_groups(_sql_keyed(df))
+    return _rows_of_days(rows, _partnered(_id_profile(rows), window_days)).drop("invoice_key")
 
 
 def count_semi_join_duplicates(df: DataFrame, window_days: int = 7) -> DataFrame:
     """How many rows the SQL rule flags, summed off the profile: no join back."""
-    flagged = _partnered(_id_profile(_sql_keyed(df)), window_days)
+    rows = in_repeated_groups(_sql_keyed(df).select(*GROUP_DAY, "transaction_id"))
+    flagged = _partnered(_id_profile(rows), window_days)
     return flagged.agg(F.coalesce(F.sum("payments"), F.lit(0)).alias("exception_count"))

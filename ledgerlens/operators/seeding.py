@@ -107,14 +107,17 @@ def seed_over_limit(
 ) -> DataFrame:
     """Raise picked amounts to 1.05 to 2 times the limit of their vendor.
 
-    A vendor without a limit keeps its amount. The factor has four decimals, so
-    the product is exact in decimals.
+    Rows are picked among those whose vendor has a limit, so exactly the wanted
+    number changes (all such rows, if they are fewer). The factor has four
+    decimals, so the product is exact in decimals.
     """
-    hit = picked(df, seed, rate, "over_limit", base_rows)
+    one_limit = limits.groupBy("vendor_id").agg(F.min("approval_limit").alias("approval_limit"))
+    limited = lookup_join(df, one_limit, ["vendor_id"])
+    total = df.count() if base_rows is None else base_rows
+    hit = picked(limited.filter("approval_limit IS NOT NULL"), seed, rate, "over_limit", total)
     steps = round((FACTOR_HIGH - FACTOR_LOW) * 10_000)
     step = F.floor(_random_part(seed, 25, 8) * F.lit(steps) / F.lit(float(16**8)))
     factor = ((step + round(FACTOR_LOW * 10_000)) / F.lit(10_000)).cast("decimal(6,4)")
     raised = F.round(F.col("approval_limit") * factor, 2).cast("decimal(18,2)")
-    one_limit = limits.groupBy("vendor_id").agg(F.min("approval_limit").alias("approval_limit"))
     amount = F.when(hit, F.coalesce(raised, "amount")).otherwise(F.col("amount"))
-    return lookup_join(df, one_limit, ["vendor_id"]).withColumn("amount", amount).drop("approval_limit")
+    return limited.withColumn("amount", amount).drop("approval_limit")

@@ -794,12 +794,20 @@ def seed_out_of_hours(spark, sf_dir):
 
 
 @query(
-    f"""WITH {picked_sql("limit", "over_limit")}, factors AS (
-    SELECT p.*, l.approval_limit, CAST((floor(CAST(CAST('0x' || substr(h, 25, 8) AS BIGINT) * 9500 AS DOUBLE)
-    / 4294967296.0::DOUBLE) + 10500) / 10000.0::DOUBLE AS DECIMAL(6,4)) AS factor
-    FROM picks p LEFT JOIN limits l ON p.vendor_id = l.vendor_id)
+    f"""WITH {t.TX_SQL},
+hashed AS (
+  SELECT tx.*, l.approval_limit, md5('limit:' || transaction_id) AS h
+  FROM tx LEFT JOIN limits l ON tx.vendor_id = l.vendor_id),
+picks AS (  -- the wanted number of all rows, drawn among those that have a limit
+  SELECT *, approval_limit IS NOT NULL AND row_number() OVER (PARTITION BY approval_limit IS NOT NULL ORDER BY h) <=
+         floor(CAST(count(*) OVER () AS DOUBLE) * 0.03::DOUBLE * {seeding.SHARES["over_limit"]}::DOUBLE) AS hit
+  FROM hashed),
+factors AS (
+  SELECT *, CAST((floor(CAST(CAST('0x' || substr(h, 25, 8) AS BIGINT) * 9500 AS DOUBLE)
+         / 4294967296.0::DOUBLE) + 10500) / 10000.0::DOUBLE AS DECIMAL(6,4)) AS factor
+  FROM picks)
     SELECT transaction_id, transaction_date, transaction_time, vendor_id, vendor_name,
-    CASE WHEN hit AND approval_limit IS NOT NULL THEN CAST(approval_limit * factor AS DECIMAL(18,2)) ELSE amount END
+    CASE WHEN hit THEN CAST(approval_limit * factor AS DECIMAL(18,2)) ELSE amount END
     AS amount, currency, invoice_number, payment_method, status FROM factors"""
 )
 def seed_over_limit(spark, sf_dir):

@@ -93,8 +93,7 @@ def test_over_limit(spark, clean_table, limits):
     seeded = seeding.seed_over_limit(clean_table, limits, RATE)
     assert seeded.count() == ROWS and seeded.columns == clean_table.columns
     rows = changed(clean_table, seeded).collect()
-    picked = clean_table.filter(seeding.picked(clean_table, "limit", RATE, "over_limit"))
-    assert picked.count() == 180 and len(rows) == picked.filter("vendor_id <> 'V9'").count()
+    assert len(rows) == 180  # V9 has no limit, its rows are not drawn
     for r in rows:
         factor = r.amount / (1000 + int(r.vendor_id[1:]))
         assert Decimal("1.049") < factor < Decimal("2.001")
@@ -102,6 +101,13 @@ def test_over_limit(spark, clean_table, limits):
     assert checks.check_exceeding_approval_limits(merged).count() == len(rows)
 
 
+def test_over_limit_with_few_limited_rows(spark, clean_table, limits):
+    """Fewer rows with a limit than wanted: all of them change, no other does."""
+    few = clean_table.withColumn("vendor_id", F.expr("if(transaction_id < 'T000100', 'V1', 'V9')"))
+    rows = changed(few, seeding.seed_over_limit(few, limits, RATE)).collect()
+    assert len(rows) == 100 and {r.vendor_id for r in rows} == {"V1"}
+
+
 def test_all_kinds_in_turn_use_the_size_before_seeding(spark, clean_table, limits):
     seeded = seeding.seed_duplicates(clean_table, F.concat(F.lit("D"), "transaction_id"), RATE, base_rows=ROWS)
     seeded = seeding.seed_missing_invoices(seeded, RATE, base_rows=ROWS)
