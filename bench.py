@@ -37,6 +37,10 @@ HEADLINE = [
     "kpi",
     "star_join",
     "seed_over_limit",
+    "day_gap",
+    "duplicate_clusters",
+    "exception_register",
+    "register_roundtrip",
 ]
 
 

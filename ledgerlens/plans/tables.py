@@ -58,7 +58,7 @@ def limits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The payments as untidy text: padding, lower case, values that do not parse."""
+    """The payments as untidy text: padding, lower case, old dates, values that do not parse."""
     tx = transactions(spark, sf_dir)
     number = F.col("transaction_id")
     every = lambda n: number % n == 0
@@ -66,6 +66,7 @@ def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit(" "), number, F.lit("\t")).alias("transaction_id"),
         F.when(every(13), "2024-13-01")
         .when(every(29), None)
+        .when(every(37), "2019-07-01")
         .otherwise(F.concat(F.col("transaction_date").cast("string"), F.lit(" ")))
         .alias("transaction_date"),
         F.when(every(17), "25:00:00").when(every(31), "nan").otherwise(F.col("transaction_time")).alias("transaction_time"),
@@ -73,6 +74,7 @@ def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("\u00a0"), F.col("vendor_name")).alias("vendor_name"),
         F.when(every(19), "1,200.50")
         .when(every(23), "abc")
+        .when(every(59), "10.005")
         .otherwise(F.concat(F.lit(" "), F.col("amount").cast("string")))
         .alias("amount"),
         F.lower("currency").alias("currency"),
@@ -112,12 +114,12 @@ RAW_SQL = f"""{TX_SQL},
 raw AS (
   SELECT ' ' || transaction_id || chr(9) AS transaction_id,
          CASE WHEN transaction_id % 13 = 0 THEN '2024-13-01' WHEN transaction_id % 29 = 0 THEN NULL
-              ELSE CAST(transaction_date AS VARCHAR) || ' ' END AS transaction_date,
+              WHEN transaction_id % 37 = 0 THEN '2019-07-01' ELSE CAST(transaction_date AS VARCHAR) || ' ' END AS transaction_date,
          CASE WHEN transaction_id % 17 = 0 THEN '25:00:00' WHEN transaction_id % 31 = 0 THEN 'nan'
               ELSE transaction_time END AS transaction_time,
          vendor_id || '  ' AS vendor_id, chr(160) || vendor_name AS vendor_name,
          CASE WHEN transaction_id % 19 = 0 THEN '1,200.50' WHEN transaction_id % 23 = 0 THEN 'abc'
-              ELSE ' ' || CAST(amount AS VARCHAR) END AS amount,
+              WHEN transaction_id % 59 = 0 THEN '10.005' ELSE ' ' || CAST(amount AS VARCHAR) END AS amount,
          lower(currency) AS currency,
          CASE WHEN transaction_id % 53 = 0 THEN ' None ' ELSE invoice_number END AS invoice_number,
          payment_method, status
@@ -180,8 +182,8 @@ LIMIT_REASON = (
     "' exceeds approval limit ' || format('{:,.2f}', CAST(approval_limit AS DOUBLE))"
 )
 
-# Rows of the register before numbering.
-ENTRIES_SQL = f"""{MERGED_SQL}, {neighbours_sql("merged")},
+# Rows of the register before numbering, and the numbered register, over `merged`.
+FOUND_SQL = f"""{neighbours_sql("merged")},
 entries AS (
   SELECT {BASE_SQL}, 'Duplicate Payment' AS exception_type, {DUPLICATE_REASON} AS reason, 'High' AS severity,
          'duplicate_payments' AS detected_by, 0 AS check_rank
@@ -197,9 +199,20 @@ entries AS (
   SELECT {BASE_SQL}, 'Exceeds Approval Limit', {LIMIT_REASON}, 'High', 'exceeds_approval_limit', 3
   FROM merged WHERE approval_limit IS NOT NULL AND amount > approval_limit)"""
 
-REGISTER_SQL = f"""{ENTRIES_SQL},
+NUMBERED_SQL = f"""
 register AS (
   SELECT row_number() OVER (ORDER BY check_rank, CASE WHEN check_rank = 0 THEN transaction_date END ASC NULLS LAST,
                                      transaction_id) AS exception_id,
          {BASE_SQL}, exception_type, reason, severity, detected_by
   FROM entries)"""
+
+ENTRIES_SQL = f"{MERGED_SQL}, {FOUND_SQL}"
+REGISTER_SQL = f"{ENTRIES_SQL}, {NUMBERED_SQL}"
+
+# The same over the cleaned text, where dates, times and amounts may be missing.
+UNTIDY_ENTRIES_SQL = f"""{CLEAN_SQL},
+merged AS (
+  SELECT clean.*, limits.approval_limit
+  FROM clean LEFT JOIN limits ON clean.vendor_id = CAST(limits.vendor_id AS VARCHAR)),
+{FOUND_SQL}"""
+UNTIDY_REGISTER_SQL = f"{UNTIDY_ENTRIES_SQL}, {NUMBERED_SQL}"

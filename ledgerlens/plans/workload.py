@@ -55,6 +55,16 @@ def merged(spark, sf_dir) -> DataFrame:
     return checks.merge_with_vendor_limits(prepared(spark, sf_dir), t.limits(spark, sf_dir))
 
 
+def untidy_merged(spark, sf_dir) -> DataFrame:
+    """Cleaned text with limits; vendor ids are texts there."""
+    limits = t.limits(spark, sf_dir).withColumn("vendor_id", F.col("vendor_id").cast("string"))
+    return checks.merge_with_vendor_limits(cleaning.clean_transactions(t.raw_text(spark, sf_dir)), limits)
+
+
+def untidy_entries(spark, sf_dir) -> DataFrame:
+    return register.exception_entries(untidy_merged(spark, sf_dir)).drop(register.RANK)
+
+
 def entries(spark, sf_dir) -> DataFrame:
     """Register rows without ids, which no summary needs."""
     return register.exception_entries(merged(spark, sf_dir)).drop(register.RANK)
@@ -210,6 +220,15 @@ def out_of_hours(spark, sf_dir):
     return checks.check_out_of_hours_transactions(prepared(spark, sf_dir))
 
 
+@query(
+    f"""WITH {t.CLEAN_SQL} SELECT {t.BASE_SQL}, 'Out-of-Hours Transaction' AS exception_type, {t.HOURS_REASON} AS reason
+    FROM clean WHERE {t.OUTSIDE} OR {t.OFF_DAY}"""
+)
+def out_of_hours_untidy(spark, sf_dir):
+    """A missing date or time counts as out of hours."""
+    return checks.check_out_of_hours_transactions(cleaning.clean_transactions(t.raw_text(spark, sf_dir)))
+
+
 @query(
     f"""WITH {t.TX_SQL} SELECT {SQL_LIST}, transaction_time, 'Out-of-Hours Transaction' AS exception_type,
     CASE WHEN dayofweek(transaction_date) IN (0, 6) THEN 'Weekend' ELSE 'Outside business hours' END AS reason
@@ -311,6 +330,11 @@ def exception_register_single_pass(spark, sf_dir):
     return register.exception_register(merged(spark, sf_dir))
 
 
+@query(f"WITH {t.UNTIDY_REGISTER_SQL} SELECT * FROM register")
+def exception_register_untidy(spark, sf_dir):
+    return register.exception_register(untidy_merged(spark, sf_dir))
+
+
 @query(
     f"""WITH {t.ENTRIES_SQL} SELECT transaction_id, string_agg(detected_by, ',' ORDER BY detected_by) AS checks,
     count(*) AS check_count FROM entries GROUP BY transaction_id"""
@@ -426,8 +450,9 @@ def v_invalid_date(spark, sf_dir):
 
 @query(
     f"""WITH {t.RAW_SQL} SELECT transaction_id, amount, CASE WHEN TRY_CAST(trim(amount) AS DECIMAL(18,2)) IS NULL
-    THEN 'not a number' ELSE 'not positive' END AS issue FROM raw
-    WHERE TRY_CAST(trim(amount) AS DECIMAL(18,2)) IS NULL OR TRY_CAST(trim(amount) AS DECIMAL(18,2)) <= 0"""
+    THEN 'not a number' WHEN TRY_CAST(trim(amount) AS DECIMAL(18,2)) <= 0 THEN 'not positive' ELSE 'sub-cent' END AS issue
+    FROM raw WHERE TRY_CAST(trim(amount) AS DECIMAL(18,2)) IS NULL OR TRY_CAST(trim(amount) AS DECIMAL(18,2)) <= 0
+    OR TRY_CAST(trim(amount) AS DECIMAL(30,10)) <> TRY_CAST(trim(amount) AS DECIMAL(18,2))"""
 )
 def v_invalid_amount_detail(spark, sf_dir):
     return validation.invalid_amount_detail(t.raw_text(spark, sf_dir))
@@ -489,12 +514,13 @@ def validation_report(spark, sf_dir):
 
 # Dimensions and measures
 
-CALENDAR_SQL = f"""{t.ENTRIES_SQL},
+CALENDAR_CTE = """
 calendar AS (
   SELECT CAST(d AS DATE) AS date, CAST(year(d) AS INTEGER) AS year, strftime(d, '%Y-%m') AS month,
          strftime(d, '%B') AS month_name, 'Q' || quarter(d) AS quarter, strftime(d, '%A') AS weekday
   FROM (SELECT unnest(generate_series(min(transaction_date), max(transaction_date), INTERVAL 1 DAY)) AS d
         FROM entries))"""
+CALENDAR_SQL = f"{t.ENTRIES_SQL}, {CALENDAR_CTE}"
 
 
 @query(f"WITH {t.ENTRIES_SQL} SELECT min(transaction_date) AS first_date, max(transaction_date) AS last_date FROM entries")
@@ -536,6 +562,23 @@ def star_join(spark, sf_dir):
     )
 
 
+@query(
+    f"""WITH {t.UNTIDY_ENTRIES_SQL}, {CALENDAR_CTE} SELECT transaction_id, detected_by, coalesce(year, -1) AS year, month,
+    quarter, weekday, dim_vendor_name, {SEVERITY_RANK_SQL} AS severity_rank FROM entries
+    LEFT JOIN calendar ON transaction_date = date
+    JOIN (SELECT vendor_id, min(vendor_name) AS dim_vendor_name FROM entries GROUP BY vendor_id) USING (vendor_id)"""
+)
+def star_join_untidy(spark, sf_dir):
+    """Undated exceptions stay, without attributes of a day (year -1)."""
+    facts = stored(untidy_entries(spark, sf_dir))
+    star = measures.star_join(
+        facts, measures.calendar(facts), measures.vendor_dimension(facts), measures.severity_dimension(facts)
+    ).withColumn("year", F.coalesce("year", F.lit(-1)))
+    return star.select(
+        "transaction_id", "detected_by", "year", "month", "quarter", "weekday", "dim_vendor_name", "severity_rank"
+    )
+
+
 KPI_SQL = """SELECT count(*) AS total_exceptions,
     count(*) FILTER (severity = 'High') AS high_severity_exceptions,
     CAST(sum(amount) AS DECIMAL(28,2)) AS exception_amount,
@@ -560,6 +603,14 @@ def sliced_kpi(spark, sf_dir):
     return measures.kpi(entries(spark, sf_dir), severity="High", month="2024-01")
 
 
+@query(
+    f"""WITH {t.ENTRIES_SQL} {KPI_SQL} WHERE severity IN ('High', 'Low') AND (strftime(transaction_date, '%Y-%m') IN
+    ('2024-01', '2024-02'))"""
+)
+def sliced_kpi_multi(spark, sf_dir):
+    return measures.kpi(entries(spark, sf_dir), severity=["High", "Low"], month=["2024-01", "2024-02"])
+
+
 @query(f"WITH {t.ENTRIES_SQL} SELECT severity, count(*) AS total_exceptions FROM entries GROUP BY severity")
 def by_severity(spark, sf_dir):
     return measures.by_severity(entries(spark, sf_dir))
@@ -578,6 +629,14 @@ def by_month(spark, sf_dir):
     return measures.by_month(entries(spark, sf_dir))
 
 
+@query(
+    f"""WITH {t.UNTIDY_ENTRIES_SQL} SELECT strftime(transaction_date, '%Y-%m') AS month, count(*) AS total_exceptions,
+    CAST(sum(amount) AS DECIMAL(28,2)) AS exception_amount FROM entries GROUP BY 1"""
+)
+def by_month_untidy(spark, sf_dir):
+    return measures.by_month(untidy_entries(spark, sf_dir))
+
+
 @query(
     f"""WITH {t.ENTRIES_SQL} SELECT vendor_name, CAST(sum(amount) AS DECIMAL(28,2)) AS exception_amount,
     count(*) AS total_exceptions FROM entries GROUP BY vendor_name
