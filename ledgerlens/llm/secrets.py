@@ -37,10 +37,10 @@ ASSIGN = re.compile(
 )
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
-# A run of hex pairs, of wrapped base64 lines, or of base64 in either alphabet.
+# A run of hex pairs, of base64 lines (wrapped at 64, 70 or 76, as key tools do), or of base64 in either alphabet.
 HEX_BYTES = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){32,}(?![0-9A-Fa-f])")
 BASE64 = re.compile(
-    r"(?<![A-Za-z0-9+/_-])(?:(?:[A-Za-z0-9+/]{64}\r?\n)+[A-Za-z0-9+/]{1,64}={0,2}|[A-Za-z0-9+/_-]{44,}={0,2})"
+    r"(?<![A-Za-z0-9+/_-])(?:(?:[A-Za-z0-9+/]{64,76}\r?\n)+[A-Za-z0-9+/]{1,76}={0,2}|[A-Za-z0-9+/_-]{44,}={0,2})"
 )
 JWT = re.compile(r"(?<![A-Za-z0-9_.-])(ey[A-Za-z0-9_-]+)\.(ey[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
 
@@ -130,6 +130,17 @@ def is_signed_header(header: str, payload: str) -> bool:
     return isinstance(head, dict) and isinstance(body, dict) and isinstance(head.get("alg"), str)
 
 
+def base64_key(match: re.Match) -> tuple[str, int, int] | None:
+    """The private key that a BASE64 match holds; the last of several lines may be a word that follows it."""
+    whole = match[0]
+    for part in dict.fromkeys((whole, whole.rpartition("\n")[0].rstrip("\r") or whole)):
+        data = unbase64(part)
+        kind = data and ("der" if is_private_der(data) else "openssh" if is_private_openssh(data) else None)
+        if kind:
+            return kind, match.start(), match.start() + len(part)
+    return None
+
+
 def spans_of(text: str | None) -> list[tuple[str, int, int]]:
     """All spans by start, then kind as listed in KINDS."""
     if not text:
@@ -144,12 +155,7 @@ def spans_of(text: str | None) -> list[tuple[str, int, int]]:
     for m in HEX_BYTES.finditer(text):
         if is_private_der(bytes.fromhex(m[0])):
             found.append(("der", *m.span()))
-    for m in BASE64.finditer(text):
-        data = unbase64(m[0])
-        if data and is_private_der(data):
-            found.append(("der", *m.span()))
-        elif data and is_private_openssh(data):
-            found.append(("openssh", *m.span()))
+    found += filter(None, map(base64_key, BASE64.finditer(text)))
     if "ey" in text:
         found += [("jwt", *m.span()) for m in JWT.finditer(text) if is_signed_header(m[1], m[2])]
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))

@@ -126,6 +126,13 @@ def test_structures_are_confirmed():
     assert kinds(f"-----BEGIN RSA PRIVATE KEY-----\n{lines}\n-----END RSA PRIVATE KEY-----") == ["der"]
     assert kinds(f"k {key.hex()} z") == ["der"]
     assert kinds(base64.b64encode(ssh).decode()) == ["openssh"]
+    for width in (64, 70, 76):
+        folded = base64.b64encode(ssh).decode()
+        folded = "\r\n".join(folded[i : i + width] for i in range(0, len(folded), width))
+        assert kinds(f"-----BEGIN OPENSSH PRIVATE KEY-----\r\n{folded}\r\n-----END OPENSSH PRIVATE KEY-----") == ["openssh"]
+    # a key of exactly one line, and a word after it
+    short = base64.b64encode(der(0x30, der(2, b"\x00") + der(0x30, der(6, b"\x2b\x65\x70")) + der(4, b"\x04\x20" + b"k" * 32))).decode()
+    assert len(short) == 64 and secrets.spans_of(f"{short}\nword") == [("der", 0, 64)]
     assert kinds(f"Bearer {token}.") == ["jwt"]
     # the same shapes without the structure
     assert kinds(base64.b64encode(key[:-3]).decode()) == []
