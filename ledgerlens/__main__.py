@@ -27,6 +27,7 @@ def main() -> None:
     result = run_audit(spark, args.input, args.limits, args.out, fmt=args.format, multiline=args.multiline)
     for table in (result.row_counts, result.by_type, result.data_quality):
         table.show(truncate=False)
+    result.discard()
 
 
 if __name__ == "__main__":

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,7 +11,7 @@ from ledgerlens.operators.checks import merge_with_vendor_limits
 from ledgerlens.operators.joins import fits_broadcast
 from ledgerlens.schema import CHECKS, AuditSettings
 from ledgerlens.sources import csv
-from ledgerlens.sources.scratch import stored
+from ledgerlens.sources.scratch import discard, run_folder, stored
 
 
 @dataclass(frozen=True)
@@ -22,6 +22,12 @@ class AuditResult:
     by_vendor: DataFrame
     data_quality: DataFrame
     row_counts: DataFrame
+    run_folder: str | None = None  # holds the intermediate tables of run_audit
+
+    def discard(self) -> None:
+        """Delete the intermediate tables; the frames can't be read after that, the written results can."""
+        if self.run_folder:
+            discard(self.transactions.sparkSession, self.run_folder)
 
 
 def audit(transactions: DataFrame, limits: DataFrame, settings: AuditSettings = AuditSettings()) -> AuditResult:
@@ -57,11 +63,13 @@ def run_audit(
     """Read both CSV tables, audit them and write the four result tables to `out_dir`.
 
     The cleaned transactions are stored once: the checks read them several times,
-    each time other columns, and text would be parsed anew.
+    each time other columns, and text would be parsed anew. The frames of the
+    result read intermediate tables, which the caller deletes by `discard()`.
     """
-    transactions = stored(cleaning.clean_transactions(csv.load_transactions(spark, transactions_path, multiline)))
-    limits = cleaning.clean_vendor_limits(csv.load_vendor_limits(spark, limits_path, multiline))
-    result = audit(transactions, limits, settings)
+    with run_folder(spark) as folder:
+        transactions = stored(cleaning.clean_transactions(csv.load_transactions(spark, transactions_path, multiline)))
+        limits = cleaning.clean_vendor_limits(csv.load_vendor_limits(spark, limits_path, multiline))
+        result = replace(audit(transactions, limits, settings), run_folder=folder)
     csv.export_exception_register(result.register, out_dir, fmt)
     csv.export_summaries(result.by_type, result.by_vendor, result.data_quality, out_dir, fmt)
     return result

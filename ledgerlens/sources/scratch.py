@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 CONF = "spark.checkpoint.dir"
+_RUN: ContextVar[str | None] = ContextVar("run_folder", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -26,9 +30,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder, so no run overwrites another."""
+    """A fresh path under the shared folder, or the run folder, so no run overwrites another."""
     ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    return f"{_RUN.get() or spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """A fresh folder that takes all that is stored inside the `with`. Whoever opens it calls `discard` in the end."""
+    path = scratch_path(spark, "run")
+    before = _RUN.set(path)
+    try:
+        yield path
+    finally:
+        _RUN.reset(before)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a run folder; frames that read from it can't be used any more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stored(df: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators import checks, cleaning, joins, measures, register, summaries, validation
 from ledgerlens.plans.audit import audit, run_audit
+from ledgerlens.sources import scratch
 from ledgerlens.schema import REGISTER_COLUMNS
 from ledgerlens.sources import csv
 
@@ -211,3 +212,15 @@ def test_line_breaks_in_quotes(spark, paths, tmp_path):
     path.write_text((DATA / "transactions.csv").read_text() + row + "\n")
     found = run_audit(spark, str(path), paths[1], str(tmp_path / "out"), multiline=True)
     assert found.transactions.count() == 31
+
+
+def test_audit_leaves_only_its_outputs(spark, paths, tmp_path):
+    """All that a run stores lies in its folder, which goes with `discard`."""
+    scratch.ensure_checkpoint_dir(spark)
+    shared = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    before = set(shared.iterdir())
+    result = run_audit(spark, paths[0], paths[1], str(tmp_path / "out"))
+    assert [p.name for p in set(shared.iterdir()) - before] == [Path(result.run_folder).name]
+    result.discard()
+    assert set(shared.iterdir()) == before
+    assert spark.read.option("header", True).csv(f"{tmp_path}/out/summary_by_type.csv").count() == 4

@@ -60,3 +60,18 @@ def test_no_pairs_no_python(spark, name):
 def test_row_local_checks_do_not_shuffle(spark):
     for name in ("missing_invoice", "out_of_hours", "over_limit"):
         assert "Exchange hashpartitioning" not in plan_of(contract.queries()[name](spark, SF_DIR))
+
+
+@pytest.mark.parametrize(
+    "name, scans", [("duplicate_window", 2), ("duplicate_semi_join", 2), ("duplicate_clusters", 2), ("day_gap", 3)]
+)
+def test_duplicate_plans_shuffle_the_facts_once(spark, monkeypatch, name, scans):
+    """Over all jobs of the query: few scans of the payments, one shuffle of their full length, one day profile."""
+    plans, real = [], duplicates.stored
+    monkeypatch.setattr(duplicates, "stored", lambda df: plans.append(plan_of(df)) or real(df))
+    plans.append(plan_of(workload.QUERIES[name](spark, SF_DIR)))
+    over_facts = [p for p in plans if "events.parquet" in p]
+    assert sum(p.count("events.parquet") for p in over_facts) == scans
+    assert sum(p.count("Exchange hashpartitioning") for p in over_facts) == 1
+    profiled = [p for p in plans if "Window" in p]
+    assert len(profiled) == 1 and "events.parquet" not in profiled[0]
