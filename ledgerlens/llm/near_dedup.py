@@ -14,8 +14,9 @@ in none of the 24 bands with a probability under 1e-5.
 
 Within a bucket no pairs are listed. Every member is compared with the bucket's
 smallest id on the full sets. Members of one bucket that are not connected by
-then may still link to each other. They are compared too, but for pairs that two exact
-bounds rule out inside the join, so that these are never listed:
+then may still link to each other. Those outside the bucket's largest component
+are compared with the others too, but for pairs that two exact bounds rule out
+inside the join, so that these are never listed:
 - Jaccard distance obeys the triangle inequality, so the distances of a linked
   pair to the smallest id differ by no more than the threshold;
 - a parity bitmap has a bit flipped for every element of a set, so two bitmaps
@@ -162,19 +163,24 @@ def _links(members: DataFrame, classes: DataFrame, texts: DataFrame, words: int,
     near = stored(_verified(pairs, sets, percent))
     stars = near.filter("linked").select("a", "b")
     found = components(stars)
-    # members of a bucket that are not connected yet
+    # In a bucket whose members are not all connected yet, those outside its largest component meet all others.
     placed = members.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    open_ = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
+    sizes = placed.groupBy("bucket", "component").agg(F.count("*").alias("held"))
+    open_ = sizes.groupBy("bucket").agg(F.max(F.struct("held", "component")).alias("main"), F.count("*").alias("parts"))
+    open_ = open_.filter("parts > 1").select("bucket", F.col("main.component").alias("main"))
     distance = near.select(F.col("a").alias("leader"), F.col("b").alias("id"), "distance")
-    rest = stored(placed.filter("id <> leader").join(open_.select("bucket"), "bucket").join(distance, ["leader", "id"]))
-    rest = rest.join(sets.select("id", "n", "parity"), "id").select("bucket", "id", "component", "distance", "n", "parity")
+    rest = stored(placed.filter("id <> leader").join(open_, "bucket").join(distance, ["leader", "id"]))
+    rest = rest.join(sets.select("id", "n", "parity"), "id").select(
+        "bucket", "id", "component", (F.col("component") != F.col("main")).alias("stray"), "distance", "n", "parity"
+    )
     left, right = (rest.toDF("bucket", *[f"{side}_{c}" for c in rest.columns[1:]]) for side in "ab")
     # a linked pair differs in at most (n + m) * (100 - percent) / (100 + percent) elements
     differing = " + ".join(f"bit_count(a_parity[{i}] ^ b_parity[{i}])" for i in range(PARITY_BITS // 64))
-    possible = f"""a_id < b_id AND a_component <> b_component
+    possible = f"""a_component <> b_component AND (NOT b_stray OR a_id < b_id)
         AND abs(a_distance - b_distance) <= {1 - percent / 100 + 1e-9}
         AND {100 + percent} * ({differing}) <= {100 - percent} * (a_n + b_n)"""
-    more = left.join(right, "bucket").filter(possible).select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
+    more = left.filter("a_stray").join(right, "bucket").filter(possible)
+    more = more.select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b"))
     more = _verified(stored(more.distinct()), sets, percent).filter("linked").select("a", "b")
     return stars.union(more)
 
