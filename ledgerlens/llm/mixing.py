@@ -110,6 +110,28 @@ def _copies() -> F.Column:
     return F.col("_whole") + once_more.cast("int")
 
 
+def _leaf(rank: F.Column, held: int, shards: int) -> F.Column:
+    """The leaf of the splitting tree that the slot of `rank` (from 1, of `held` in random order) falls to.
+
+    The first half of a node's slots goes to its left child. Any part of a random
+    order is in random order too, so every node draws its half without
+    replacement, and no node is ever gathered in one place.
+    """
+
+    def split(node, _):
+        half = F.shiftright(node["held"] + node["leaf"].bitwiseAND(F.lit(1)), 1)
+        right = node["rank"] > half
+        return F.struct(
+            (node["leaf"] * 2 + right.cast("long")).alias("leaf"),
+            F.when(right, node["rank"] - half).otherwise(node["rank"]).alias("rank"),
+            F.when(right, node["held"] - half).otherwise(half).alias("held"),
+        )
+
+    levels = F.sequence(F.lit(1), F.lit(shards.bit_length() - 1)) if shards > 1 else F.array().cast("array<int>")
+    root = F.struct(F.lit(0).cast("long").alias("leaf"), rank.alias("rank"), F.lit(held).cast("long").alias("held"))
+    return F.aggregate(levels, root, split)["leaf"].cast("int")
+
+
 def _dealt_blocks(rows: DataFrame, cuts: DataFrame, shards: int, seed: str) -> DataFrame:
     """Per source and block of places: `_shards`, the shard that copy 1, 2, .. of the block goes to.
 
@@ -127,13 +149,10 @@ def _dealt_blocks(rows: DataFrame, cuts: DataFrame, shards: int, seed: str) -> D
 
     permuted = Window.partitionBy("_key").orderBy(shuffled("_key", "_block", "_copy"), "_block", "_copy")
     drawn = stored(drawn.withColumn("_nth", F.row_number().over(permuted)))
-    # the tree: which slots of a node go left is drawn without replacement
-    slots = drawn.select("_key", F.col("_nth").alias("_slot"), F.lit(0).alias("_node"))
-    for level in range(shards.bit_length() - 1):
-        draw = Window.partitionBy("_node").orderBy(shuffled(F.lit(level), "_key", "_slot"), "_key", "_slot")
-        slots = slots.withColumns({"_rank": F.row_number().over(draw), "_held": F.count("*").over(Window.partitionBy("_node"))})
-        right = (F.col("_rank") > F.expr("(_held + (_node & 1)) div 2")).cast("int")
-        slots = slots.select("_key", "_slot", (F.col("_node") * 2 + right).alias("_node"))
+    # the tree: which slots of a node go left is drawn without replacement, by a place in one random order
+    slots = drawn.select("_key", F.col("_nth").alias("_slot"))
+    slots = with_dense_id(slots, [shuffled(F.lit("tree"), "_key", "_slot"), "_key", "_slot"], "_rank")
+    slots = slots.select("_key", "_slot", _leaf(F.col("_rank"), drawn.count(), shards).alias("_node"))
     # a shard's number of blocks of a source decides which of the permuted blocks it takes
     taken = Window.partitionBy("_key").orderBy("_node", "_slot")
     quotas = slots.select("_key", F.col("_node").alias("_shard"), F.row_number().over(taken).alias("_nth"))
