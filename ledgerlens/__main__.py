@@ -17,6 +17,7 @@ def main() -> None:
     parser.add_argument("--out", required=True, help="folder for the register and the summaries")
     parser.add_argument("--format", default="csv", choices=["csv", "parquet"], help="format of the results")
     parser.add_argument("--multiline", action="store_true", help="fields may hold quoted line breaks (one task a file)")
+    parser.add_argument("--dates-with-time", action="store_true", help="dates may carry a clock time, which is left out")
     parser.add_argument("--shuffle-partitions", default="4000", help="width of shuffles before adaptive execution merges them")
     args = parser.parse_args()
 
@@ -24,7 +25,15 @@ def main() -> None:
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     spark = builder.config("spark.sql.shuffle.partitions", args.shuffle_partitions).getOrCreate()
-    result = run_audit(spark, args.input, args.limits, args.out, fmt=args.format, multiline=args.multiline)
+    result = run_audit(
+        spark,
+        args.input,
+        args.limits,
+        args.out,
+        fmt=args.format,
+        multiline=args.multiline,
+        dates_with_time=args.dates_with_time,
+    )
     for table in (result.row_counts, result.by_type, result.data_quality):
         table.show(truncate=False)
     result.discard()

@@ -5,15 +5,17 @@ from pyspark.sql import functions as F
 
 
 DAY = r"^\d{4}-\d{1,2}-\d{1,2}$"
+WITH_TIME = r"^\d{4}-\d{1,2}-\d{1,2}([ T]([01]?\d|2[0-3]):[0-5]?\d(:[0-5]?\d(\.\d+)?)?)?$"
 CLOCK = r"^([01]?\d|2[0-3]):[0-5]?\d:[0-5]?\d$"
 
 
-def parse_day(c: Column) -> Column:
+def parse_day(c: Column, with_time: bool = False) -> Column:
     """`yyyy-mm-dd` text (one-digit month or day allowed) to DATE, else NULL.
 
-    The cast alone would also take years, months and timestamps.
+    The cast alone would also take years, months and timestamps. `with_time`
+    allows a valid clock time behind the day, which is left out.
     """
-    return F.when(c.rlike(DAY), c.try_cast("date"))
+    return F.when(c.rlike(WITH_TIME if with_time else DAY), c.try_cast("date"))
 
 
 def parse_clock(c: Column) -> Column:

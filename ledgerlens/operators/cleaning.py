@@ -18,10 +18,10 @@ def normalise_strings(df: DataFrame) -> DataFrame:
     )
 
 
-def parse_dates_times(df: DataFrame) -> DataFrame:
+def parse_dates_times(df: DataFrame, dates_with_time: bool = False) -> DataFrame:
     return df.withColumns(
         {
-            "transaction_date": fn.parse_day(F.col("transaction_date")),
+            "transaction_date": fn.parse_day(F.col("transaction_date"), dates_with_time),
             "transaction_time": fn.parse_clock(F.col("transaction_time")),
         }
     )
@@ -57,9 +57,10 @@ def prepare(typed: DataFrame) -> DataFrame:
     return typed.transform(flag_missing_values).transform(derive_features)
 
 
-def clean_transactions(raw: DataFrame) -> DataFrame:
+def clean_transactions(raw: DataFrame, dates_with_time: bool = False) -> DataFrame:
     """The whole cleaning of a raw text table: one projection over the scan."""
-    return raw.transform(normalise_strings).transform(parse_dates_times).transform(parse_numeric).transform(prepare)
+    parsed = raw.transform(normalise_strings).transform(parse_dates_times, dates_with_time)
+    return parsed.transform(parse_numeric).transform(prepare)
 
 
 def clean_vendor_limits(raw: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ from ledgerlens.schema import (
     INVALID_DATE,
     MISSING_INVOICE_COUNT,
     ORPHANED_VENDOR,
+    require_columns,
 )
 
 EARLIEST_DATE = dt.date(2020, 1, 1)
@@ -103,6 +104,14 @@ def invalid_amount_detail(raw: DataFrame) -> DataFrame:
     return raw.select("transaction_id", "amount", issue.alias("issue")).filter("issue is not null")
 
 
+def lost_values(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Per column of `schema`, the values of `df` that do not fit its type: `staging.conform` makes them NULL."""
+    require_columns(df, schema.fieldNames())
+    unfit = {f.name: F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull() for f in schema.fields}
+    one_row = df.agg(*[F.count_if(test).alias(name) for name, test in unfit.items()])
+    return unpivot_row(one_row, "field", {name: [F.col(name)] for name in unfit}, ["lost_count"])
+
+
 def repeated_keys(df: DataFrame, key: list[str]) -> DataFrame:
     """Primary-key violations: key values held by more than one row."""
     return df.groupBy(*key).agg(F.count("*").alias("copies")).filter("copies > 1")

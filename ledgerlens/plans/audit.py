@@ -59,6 +59,7 @@ def run_audit(
     settings: AuditSettings = AuditSettings(),
     fmt: str = "csv",
     multiline: bool = False,
+    dates_with_time: bool = False,
 ) -> AuditResult:
     """Read both CSV tables, audit them and write the four result tables to `out_dir`.
 
@@ -67,7 +68,8 @@ def run_audit(
     result read intermediate tables, which the caller deletes by `discard()`.
     """
     with run_folder(spark) as folder:
-        transactions = stored(cleaning.clean_transactions(csv.load_transactions(spark, transactions_path, multiline)))
+        raw = csv.load_transactions(spark, transactions_path, multiline)
+        transactions = stored(cleaning.clean_transactions(raw, dates_with_time))
         limits = cleaning.clean_vendor_limits(csv.load_vendor_limits(spark, limits_path, multiline))
         result = replace(audit(transactions, limits, settings), run_folder=folder)
     csv.export_exception_register(result.register, out_dir, fmt)

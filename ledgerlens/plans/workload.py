@@ -121,11 +121,55 @@ def csv_limits(spark, sf_dir):
     return csv.load_vendor_limits(spark, path)
 
 
+CSV_LINE_SQL = """concat_ws(',', transaction_id, transaction_date, transaction_time, vendor_id, vendor_name, amount,
+    currency, coalesce(invoice_number, ''), payment_method) || CASE WHEN transaction_id % 7 = 0 THEN ',' || status || ',late'
+    WHEN transaction_id % 11 = 0 THEN '' ELSE ',' || status END"""
+
+
+@query(
+    f"""WITH {t.TX_SQL}, lines AS (SELECT {CSV_LINE_SQL} AS line FROM tx)
+    SELECT line AS malformed_row FROM lines WHERE length(line) - length(replace(line, ',', '')) <> {len(BASE_COLUMNS) - 1}"""
+)
+def csv_rejects(spark, sf_dir):
+    """A CSV with rows of one field too many and one too few."""
+    tx, number = t.transactions(spark, sf_dir), F.col("transaction_id")
+    fields = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in BASE_COLUMNS[:-1]])
+    last = F.when(number % 7 == 0, F.concat(F.lit(","), "status", F.lit(",late"))).when(number % 11 == 0, "")
+    lines = tx.select(F.concat(fields, last.otherwise(F.concat(F.lit(","), "status"))).alias(",".join(BASE_COLUMNS)))
+    path = scratch_path(spark, "lines")
+    lines.write.options(header=True, sep="\u0001").csv(path)
+    return csv.malformed_rows(spark, path).select(F.col(csv.CORRUPT).alias("malformed_row"))
+
+
+@query(
+    f"""WITH {t.RAW_SQL}, lost AS (SELECT
+    count(*) FILTER (TRY_CAST(trim(transaction_date) AS DATE) IS NULL AND transaction_date IS NOT NULL) AS days,
+    count(*) FILTER (TRY_CAST(trim(amount) AS DECIMAL(18,2)) IS NULL AND amount IS NOT NULL) AS amounts FROM raw)
+    SELECT field, CASE field WHEN 'transaction_date' THEN days WHEN 'amount' THEN amounts ELSE 0 END AS lost_count
+    FROM lost, (SELECT unnest({BASE_COLUMNS}) AS field)"""
+)
+def staging_losses(spark, sf_dir):
+    return validation.lost_values(t.raw_text(spark, sf_dir), TRANSACTION_SCHEMA)
+
+
 @query(f"WITH {t.RAW_SQL} SELECT * FROM stripped")
 def clean_strings(spark, sf_dir):
     return cleaning.normalise_strings(t.raw_text(spark, sf_dir))
 
 
+@query(
+    f"""WITH {t.TX_SQL} SELECT transaction_id, CASE WHEN transaction_id % 13 = 0 OR transaction_id % 17 = 0 THEN NULL
+    ELSE transaction_date END AS transaction_date FROM tx"""
+)
+def clean_dates_with_time(spark, sf_dir):
+    """Days with a clock time behind them, some no day and some no time."""
+    number = F.col("transaction_id")
+    day = F.when(number % 13 == 0, "2024-13-01").otherwise(F.col("transaction_date").cast("string"))
+    clock = F.when(number % 17 == 0, "25:00:00").otherwise(F.col("transaction_time"))
+    text = F.concat(day, F.when(number % 2 == 0, "T").otherwise(" "), clock)
+    return t.transactions(spark, sf_dir).select("transaction_id", fn.parse_day(text, with_time=True).alias("transaction_date"))
+
+
 @query(f"WITH {t.CLEAN_SQL} SELECT transaction_id, transaction_date, transaction_time FROM clean")
 def clean_dates_times(spark, sf_dir):
     raw = t.raw_text(spark, sf_dir).transform(cleaning.normalise_strings)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens import functions as fn
 from ledgerlens.schema import BASE_COLUMNS, VENDOR_COLUMNS, quoted, require_columns
+from ledgerlens.sources.scratch import stored
 
 # Quotes are doubled inside quoted fields and white space is data, both ways.
 CSV_OPTIONS = {
@@ -36,12 +37,15 @@ def read_text_table(spark: SparkSession, path: str, required: list[str], multili
 
 
 def malformed_rows(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """Rows that `read_text_table` would fail on: the fields as far as they were read, and the raw text."""
+    """Rows that `read_text_table` would fail on: the fields as far as they were read, and the raw text.
+
+    They are stored, because Spark does not let a query over the file itself ask for the raw text alone.
+    """
     options = {**CSV_OPTIONS, "multiLine": multiline, "columnPruning": False}
     header = spark.read.options(**options).csv(path).schema
     schema = header.add(CORRUPT, "string")
     rows = spark.read.schema(schema).options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT).csv(path)
-    return rows.filter(F.col(CORRUPT).isNotNull())
+    return stored(rows.filter(F.col(CORRUPT).isNotNull()))
 
 
 def load_transactions(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:

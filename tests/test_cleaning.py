@@ -45,6 +45,25 @@ def test_dates(spark, text, day):
     assert one_column(spark, [text], fn.parse_day) == [day]
 
 
+@pytest.mark.parametrize(
+    "text, valid",
+    [
+        ("2024-01-04", True),
+        ("2024-01-04 00:00:00", True),
+        ("2024-1-4T9:05", True),
+        ("2024-01-04T23:59:59.125", True),
+        ("2024-01-04 25:00:00", False),
+        ("2024-01-04 noon", False),
+        ("2024-13-01 00:00:00", False),
+        ("2024-01", False),
+        (None, False),
+    ],
+)
+def test_dates_with_time(spark, text, valid):
+    expected = dt.date(2024, 1, 4) if valid else None
+    assert one_column(spark, [text], lambda c: fn.parse_day(c, with_time=True)) == [expected]
+
+
 @pytest.mark.parametrize(
     "text, clock",
     [

@@ -1,5 +1,6 @@
 """Published results on the thirty-row sample, from CSV to CSV."""
 
+import re
 from decimal import Decimal
 from pathlib import Path
 
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerlens.operators import checks, cleaning, joins, measures, register, summaries, validation
 from ledgerlens.plans.audit import audit, run_audit
 from ledgerlens.sources import scratch
-from ledgerlens.schema import REGISTER_COLUMNS
+from ledgerlens.schema import BASE_COLUMNS, REGISTER_COLUMNS, TRANSACTION_SCHEMA
 from ledgerlens.sources import csv
 
 DATA = Path(__file__).parent / "data"
@@ -202,6 +203,7 @@ def test_rows_of_another_length_fail_the_audit(spark, paths, tmp_path, row):
     path = tmp_path / "bad.csv"
     path.write_text((DATA / "transactions.csv").read_text() + row + "\n")
     assert [r[csv.CORRUPT] for r in csv.malformed_rows(spark, str(path)).collect()] == [row]
+    assert csv.malformed_rows(spark, str(path)).count() == 1
     with pytest.raises(Exception, match="(?i)malformed"):
         run_audit(spark, str(path), paths[1], str(tmp_path / "out"))
 
@@ -214,6 +216,24 @@ def test_line_breaks_in_quotes(spark, paths, tmp_path):
     assert found.transactions.count() == 31
 
 
+def test_dates_that_carry_a_time(spark, paths, tmp_path, audited):
+    path = tmp_path / "timed.csv"
+    text = (DATA / "transactions.csv").read_text()
+    path.write_text(re.sub(r"(,\d{4}-\d\d-\d\d),", r"\1 00:00:00,", text))
+    raw = csv.load_transactions(spark, str(path))
+    assert cleaning.clean_transactions(raw).filter("is_missing_date").count() == 30
+    found = run_audit(spark, str(path), paths[1], str(tmp_path / "out"), dates_with_time=True)
+    assert found.register.count() == audited.register.count() == 34
+
+
+def test_values_that_fit_no_staging_type_are_counted(spark):
+    rows = [("2024-13-01", "1,200.50"), ("2024-01-04", "abc"), (None, "3"), ("x", None)]
+    raw = spark.createDataFrame(rows, "transaction_date string, amount string")
+    raw = raw.selectExpr(*[c if c in raw.columns else f"'a' AS {c}" for c in BASE_COLUMNS])
+    lost = {r["field"]: r["lost_count"] for r in validation.lost_values(raw, TRANSACTION_SCHEMA).collect()}
+    assert lost == {c: 2 if c in ("transaction_date", "amount") else 0 for c in BASE_COLUMNS}
+
+
 def test_audit_leaves_only_its_outputs(spark, paths, tmp_path):
     """All that a run stores lies in its folder, which goes with `discard`."""
     scratch.ensure_checkpoint_dir(spark)
