@@ -386,6 +386,15 @@ def test_blocks_are_dealt_once_and_evenly(spark):
     assert counts.max() < 2 * counts.min()
 
 
+def test_leaves_of_the_splitting_tree_halve_every_node(spark):
+    for held, shards in ((0, 4), (1, 4), (103, 8), (64, 16), (5, 1)):
+        ranked = spark.range(1, held + 1).select(mixing._leaf(F.col("id"), held, shards).alias("leaf"))
+        leaves = [r["leaf"] for r in ranked.collect()]
+        assert leaves == sorted(leaves)  # parts of one order
+        counts = [leaves.count(i) for i in range(shards)]
+        assert sum(counts) == held and max(counts) - min(counts) <= 1
+
+
 def test_mix_keeps_all_columns_and_counts(spark, awkward, empty):
     mixed = mixing.mix_sources(awkward)
     assert mixed.columns == awkward.columns
