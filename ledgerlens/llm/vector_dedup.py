@@ -1,13 +1,22 @@
 """Near-duplicate vectors by a forest of random-projection trees.
 
-Equal vectors form a class; one of each class is compared. A tree splits space
-by random directions, one per level, at the median of the projections; vectors
-within SPILL of the median (as a share of the node) go down both sides. Trees
-are fitted on a bounded sample (`SAMPLE` vectors); their depth follows the number
-of vectors, so leaves hold about LEAF vectors; every vector is sent down every
-tree. Vectors are compared within leaves, in blocks: a leaf beyond BLOCK rows is
-cut into blocks and every pair of blocks is a group of its own, so no task holds
-more than two blocks and none is left out.
+Equal vectors form a class; one of each class is compared. Dense groups come
+first: a core is a centre, found on a bounded sample (`SAMPLE` vectors), with all
+vectors within half the threshold's angle of it. Two vectors of a core are linked
+for certain, so they are counted, not compared. A vector outside that is linked
+with one of a core lies within one and a half angles of the centre: such vectors
+are compared with the whole core. Nothing of a core is lost, however large it is.
+
+The vectors of no core go through the forest. A tree splits space by random
+directions, one per level, at the median of the projections; vectors within SPILL
+of the median (as a share of the node), and at least within half the gap that a
+pair at the threshold has in a random direction, go down both sides. A node that
+such a split would not shrink below MOST of itself lies mostly inside one group
+and is left whole. Trees are fitted on the sample; their depth follows the number
+of vectors, so leaves of split nodes hold about LEAF vectors; every vector is sent
+down every tree. Vectors are compared within leaves, in blocks: a leaf beyond
+BLOCK rows is cut into blocks and every pair of blocks is a group of its own, so
+no task holds more than two blocks and none is left out.
 
 A leaf's matrix product gives its pairs with cosine >= the threshold, in double
 precision. No pair leaves the task: a pair is counted in the first of the leaves
@@ -35,8 +44,10 @@ from ledgerlens.llm.vectors import classes, lists, matrix, sample_matrix, usable
 from ledgerlens.sources.scratch import stored
 
 COSINE = 0.9
-TREES, SPILL = 4, 0.1
+TREES, SPILL, MOST = 4, 0.1, 0.7  # halves above 0.7 of a node each hold as many pairs as the node
 SAMPLE, LEAF, BLOCK = 8192, 768, 1536
+LEAST = 16  # vectors of the sample that make a core, or a node that is split
+MARGIN = 1e-9  # what rounding may do to a cosine
 SEED = 20240229
 
 
@@ -46,24 +57,59 @@ def unit(rows: np.ndarray) -> np.ndarray:
     return scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True)) if len(rows) else rows
 
 
-def fit_forest(sample: np.ndarray, n: int, trees: int = TREES, spill: float = SPILL) -> list[list[tuple]]:
-    """Per tree a list of levels (direction, lower and upper bound of the spill band of each node)."""
-    depth = max(0, math.ceil(math.log(max(1, n) / LEAF) / -math.log(0.5 + spill)))
+def fit_cores(points: np.ndarray, cosine: float) -> np.ndarray:
+    """Centres (unit rows) of groups of the sample, each with LEAST or more vectors within half the threshold's angle."""
+    within, centres = math.cos(math.acos(cosine) / 2) + MARGIN, []
+    free = np.ones(len(points), bool)
+    near = np.array([(points @ p >= cosine).sum() for p in points], int)
+    for at in np.argsort(-near, kind="stable"):
+        if near[at] < LEAST:
+            break
+        if not free[at]:
+            continue
+        held = free & (points @ points[at] >= cosine)
+        for _ in range(3):
+            if held.sum() < LEAST:
+                break
+            centre = unit(points[held].mean(axis=0, keepdims=True))[0]
+            held = free & (points @ centre >= within)
+        free[at] = False
+        if held.sum() >= LEAST:
+            centres.append(centre)
+            free &= ~held
+    return np.array(centres).reshape(len(centres), points.shape[1])
+
+
+def fit_forest(sample: np.ndarray, n: int, trees: int = TREES, spill: float = SPILL, cosine: float = COSINE) -> list[list[tuple]]:
+    """Per tree a list of levels (direction, lower and upper bound of the spill band of each node).
+
+    A node that is left whole has infinite bounds: all of it goes down the left side.
+    """
+    shrink = -math.log(0.5 + spill)
+    depth = max(0, math.ceil(math.log(max(1, n) / LEAF) / shrink))
+    depth = min(depth, max(0, math.ceil(math.log(max(1, len(sample)) / LEAST) / shrink)))  # the sample says no more
     rng = np.random.default_rng(SEED)
     points = unit(sample)
     forest = []
     for _ in range(trees):
         levels, members = [], [np.arange(len(points))]
         for _ in range(depth):
-            if min(len(m) for m in members) < 16:
-                break  # the sample says no more; larger leaves are compared in blocks
             direction = rng.normal(size=points.shape[1])
+            gap = math.sqrt(max(0.0, 2 - 2 * cosine) / points.shape[1]) * np.linalg.norm(direction)
             below, bounds = [], []
             for rows in members:
-                projected = points[rows] @ direction
-                low, high = np.quantile(projected, [0.5 - spill, 0.5 + spill])
+                low, high = np.inf, np.inf
+                if len(rows) >= LEAST:
+                    projected = points[rows] @ direction
+                    cut = np.quantile(projected, [0.5 - spill, 0.5, 0.5 + spill])
+                    left, right = min(cut[0], cut[1] - gap / 2), max(cut[2], cut[1] + gap / 2)
+                    if max((projected <= right).mean(), (projected >= left).mean()) <= MOST:
+                        low, high = left, right
                 bounds.append((low, high))
-                below += [rows[projected <= high], rows[projected >= low]]
+                if low < np.inf:
+                    below += [rows[projected <= high], rows[projected >= low]]
+                else:
+                    below += [rows, rows[:0]]
             levels.append((direction, *np.array(bounds).T))
             members = below
         forest.append(levels)
@@ -85,6 +131,65 @@ def leaves(points: np.ndarray, forest: list[list[tuple]]) -> tuple[np.ndarray, n
     return np.concatenate(rows_found), np.concatenate(leaves_found)
 
 
+def _assign(rows: DataFrame, centres: np.ndarray, cosine: float) -> DataFrame:
+    """Add `core`, the core of each vector or -1, and `beside`, the cores with a smaller number or, of none, all cores it may link with.
+
+    A pair from two cores is left to the core with the smaller number.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(centres)
+    angle = math.acos(cosine)
+    within, reach = math.cos(angle / 2) + MARGIN, math.cos(min(1.5 * angle, math.pi)) - MARGIN
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            points, n = matrix(batch.column(1)), len(shared.value)
+            near = unit(points) @ shared.value.T if n and len(points) else np.zeros((len(points), 0))
+            core = np.where(near.max(axis=1) >= within, near.argmax(axis=1), -1) if near.size else np.full(len(points), -1)
+            row, beside = np.nonzero((near >= reach) & (np.arange(near.shape[1]) < np.where(core < 0, n, core)[:, None]))
+            offsets = np.searchsorted(row, np.arange(len(points) + 1)).astype(np.int32)
+            lists_ = pa.ListArray.from_arrays(offsets, pa.array(beside.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(core.astype(np.int32)), lists_], ["cls", "vec", "copies", "core", "beside"])
+
+    chosen = rows.select("cls", "vec", "copies")
+    return chosen.mapInArrow(assign, "cls bigint, vec array<double>, copies bigint, core int, beside array<int>")
+
+
+def compare_sides(table: pa.Table, cosine: float) -> pa.Table:
+    """(cls, links, reached) of a block of a core and a block of the vectors beside it."""
+    names, copies = table.column("cls").to_numpy(), table.column("copies").to_numpy()
+    inside = table.column("inside").to_numpy(zero_copy_only=False)
+    if inside.all() or not inside.any():
+        return pa.table({"cls": names[:0], "links": copies[:0], "reached": names[:0]})
+    points = unit(matrix(table.column("vec")))
+    a, b = np.flatnonzero(inside), np.flatnonzero(~inside)
+    linked = points[a] @ points[b].T >= cosine
+    links, reached = np.zeros(len(names), np.int64), names.copy()
+    links[a], links[b] = linked @ copies[b], linked.T @ copies[a]
+    met = linked.any(axis=0)  # the core is one component: one link into it is enough
+    reached[b[met]] = names[a[linked[:, met].argmax(axis=0)]]
+    found = links > 0
+    return pa.table({"cls": names[found], "links": links[found], "reached": reached[found]})
+
+
+def _cored(assigned: DataFrame, cosine: float) -> DataFrame:
+    """(cls, links, reached) of all pairs with a vector of a core."""
+    members = assigned.filter("core >= 0")
+    beside = assigned.select("cls", "vec", "copies", F.explode("beside").alias("core"))
+    total = members.groupBy("core").agg(F.sum("copies").alias("total"), F.min("cls").alias("first"), F.count("*").alias("n"))
+    total = F.broadcast(stored(total))  # at most SAMPLE / LEAST cores
+    certain = members.join(total, "core").select("cls", (F.col("total") - F.col("copies")).alias("links"), F.col("first").alias("reached"))
+    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+    sizes = beside.groupBy("core").agg(F.count("*").alias("m")).join(total, "core")
+    sizes = F.broadcast(stored(sizes.select("core", blocks("n").alias("ins"), blocks("m").alias("outs"))))
+    block = lambda n: F.pmod(F.xxhash64(F.lit("block"), "cls"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ["core", "i", "j", "inside", "cls", "vec", "copies"]
+    inner = members.join(sizes, "core").withColumn("i", block("ins")).withColumn("j", every("outs")).withColumn("inside", F.lit(True))
+    outer = beside.join(sizes, "core").withColumn("j", block("outs")).withColumn("i", every("ins")).withColumn("inside", F.lit(False))
+    sides = inner.select(columns).union(outer.select(columns)).groupBy("core", "i", "j")
+    return certain.union(sides.applyInArrow(lambda table: compare_sides(table, cosine), "cls bigint, links bigint, reached bigint"))
+
+
 def _route(rows: DataFrame, forest: list[list[tuple]]) -> DataFrame:
     """Add `leaves`, the sorted leaves of each vector."""
     shared = rows.sparkSession.sparkContext.broadcast(forest)
@@ -157,9 +262,14 @@ def near_vectors(
     """One row per input row: id, n_links, component_id (the smallest id reachable by links) and kept."""
     rows = stored(usable(df, id_column, vector_column))
     distinct = stored(classes(rows))
-    forest = fit_forest(sample_matrix(distinct, SAMPLE, "forest"), distinct.count())
-    routed = stored(_route(distinct, forest))
-    compared = stored(_compared(routed, cosine))
+    sample = sample_matrix(distinct, SAMPLE, "forest")
+    centres = fit_cores(unit(sample), cosine)
+    assigned = stored(_assign(distinct, centres, cosine))
+    alone = assigned.filter("core < 0")
+    loose = (unit(sample) @ centres.T < math.cos(math.acos(cosine) / 2) + MARGIN).all(axis=1)
+    forest = fit_forest(sample[loose], alone.count(), cosine=cosine)
+    routed = stored(_route(alone, forest))
+    compared = stored(_compared(routed, cosine).union(_cored(assigned, cosine)))
     links = compared.groupBy("cls").agg(F.sum("links").alias("links"))
     found = components(compared.filter("cls <> reached").select(F.col("cls").alias("a"), F.col("reached").alias("b")))
     judged = distinct.select("cls", "copies", F.col("ids")[0].alias("first")).join(links, "cls", "left")
@@ -170,7 +280,7 @@ def near_vectors(
     )
     held = rows.select("id", F.xxhash64("vec").alias("cls")).join(judged, "cls").select("id", "n_links", "component_id")
     every = df.select(F.col(id_column).alias("id")).join(rows.select("id").distinct(), "id", "left_anti")
-    alone = every.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
-    return held.union(alone).select(
+    apart = every.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
+    return held.union(apart).select(
         F.col("id").alias(id_column), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept")
     )

@@ -535,6 +535,25 @@ def test_leaves_cut_into_blocks_lose_no_pair(spark, monkeypatch):
     assert found == {i: (n, c) for i, n, c in brute.near_vectors(rows, 6)}
 
 
+@pytest.mark.parametrize("noise, least", [(0.022, 1.0), (0.035, 0.99)])
+def test_links_inside_a_large_near_group_are_kept(spark, monkeypatch, noise, least):
+    """One jittered group of a third of the rows: tight (a core), or so wide that only whole nodes keep its pairs."""
+    monkeypatch.setattr(vector_dedup, "LEAF", 60)
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(1500, 64))
+    centre = x[0] / np.linalg.norm(x[0])
+    x[:500] = centre + rng.normal(size=(500, 64)) * noise * rng.uniform(0.8, 1.2, size=(500, 1))
+    y = x / np.linalg.norm(x, axis=1, keepdims=True)
+    linked = y @ y.T >= vector_dedup.COSINE
+    expected = linked.sum(axis=1) - 1
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = {r["vec_id"]: r for r in vector_dedup.near_vectors(df).collect()}
+    links = np.array([found[i]["n_links"] for i in range(1500)])
+    assert (links <= expected).all() and links.sum() >= least * expected.sum() > 0
+    if least == 1.0:
+        assert {found[i]["component_id"] for i in range(500)} == {0}
+
+
 def test_nearest_recall_and_exact_scores(spark):
     rows = vector_rows(4, n=400)
     df = spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<double>, rank int")
