@@ -4,7 +4,8 @@ Three patterns report what looks like a secret by its text (assign, access,
 hex). Four kinds are reported only after their bytes were parsed:
 
 - der: base64 or hex that decodes to a private key in ASN.1 (PKCS#1, PKCS#8,
-  encrypted PKCS#8 or SEC1), every nested length closing exactly,
+  encrypted PKCS#8, SEC1 or DSA), every nested length closing exactly; base64
+  lines may be indented, quoted, or parted by escaped line breaks,
 - openssh: base64 of an `openssh-key-v1` file whose length-prefixed fields
   close and whose private part is there,
 - jwt: a signed token whose header is a JSON object that names its algorithm
@@ -21,6 +22,7 @@ import base64
 import binascii
 import json
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -39,8 +41,11 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
 # A run of hex pairs, of base64 lines (wrapped at 64, 70 or 76, as key tools do), or of base64 in either alphabet.
 HEX_BYTES = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){32,}(?![0-9A-Fa-f])")
+# Between the lines: a real or an escaped line break, then indentation or quote marks.
+BREAK = re.compile(r"""(?:\r?\n|(?:\\+r)?\\+n)[\x20\t>|"']*+""")
 BASE64 = re.compile(
-    r"(?<![A-Za-z0-9+/_-])(?:(?:[A-Za-z0-9+/]{64,76}\r?\n)+[A-Za-z0-9+/]{1,76}={0,2}|[A-Za-z0-9+/_-]{44,}={0,2})"
+    r"(?:(?<![A-Za-z0-9+/_-])(?!(?<=\\)[nr])|(?<=\\n))"
+    rf"(?:(?:[A-Za-z0-9+/]{{64,76}}{BREAK.pattern})+[A-Za-z0-9+/]{{1,76}}={{0,2}}|[A-Za-z0-9+/_-]{{44,}}={{0,2}})"
 )
 JWT = re.compile(r"(?<![A-Za-z0-9_.-])(ey[A-Za-z0-9_-]+)\.(ey[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
 
@@ -50,7 +55,7 @@ SPAN_TYPE = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.
 
 def unbase64(text: str) -> bytes | None:
     """Bytes of a base64 text in either alphabet, wrapped or not, padded or not."""
-    text = re.sub(r"\s", "", text).rstrip("=").translate(str.maketrans("-_", "+/"))
+    text = re.sub(r"\s", "", BREAK.sub("", text)).rstrip("=").translate(str.maketrans("-_", "+/"))
     if len(text) % 4 == 1:
         return None
     try:
@@ -86,6 +91,8 @@ def is_private_der(data: bytes) -> bool:
     tags = [tag for tag, _ in fields]
     if tags[:9] == [INTEGER] * 9:  # PKCS#1: version, modulus, exponents, primes, coefficients
         return True
+    if tags == [INTEGER] * 6:  # legacy DSA: version 0, primes and generator, public and private value
+        return fields[0][1] == b"\x00" and len(fields[1][1]) >= 64 and all(content for _, content in fields)
     if tags[:3] == [INTEGER, SEQUENCE, OCTETS]:  # PKCS#8: version, algorithm, wrapped key
         algorithm = der_fields(fields[1][1])
         return bool(algorithm) and algorithm[0][0] == OBJECT_ID
@@ -130,15 +137,52 @@ def is_signed_header(header: str, payload: str) -> bool:
     return isinstance(head, dict) and isinstance(body, dict) and isinstance(head.get("alg"), str)
 
 
-def base64_key(match: re.Match) -> tuple[str, int, int] | None:
-    """The private key that a BASE64 match holds; the last of several lines may be a word that follows it."""
-    whole = match[0]
-    for part in dict.fromkeys((whole, whole.rpartition("\n")[0].rstrip("\r") or whole)):
-        data = unbase64(part)
-        kind = data and ("der" if is_private_der(data) else "openssh" if is_private_openssh(data) else None)
-        if kind:
-            return kind, match.start(), match.start() + len(part)
-    return None
+def key_kind(text: str) -> str | None:
+    data = unbase64(text)
+    return data and ("der" if is_private_der(data) else "openssh" if is_private_openssh(data) else None) or None
+
+
+def der_letters(text: str) -> int | None:
+    """Base64 letters of the ASN.1 sequence that starts with `text`, by its own length."""
+    head = unbase64(text[:8]) or b""
+    if len(head) < 6 or head[0] != SEQUENCE:
+        return None
+    width = head[1] & 0x7F if head[1] >= 0x80 else 0
+    if width > 4:
+        return None
+    size = 2 + width + (int.from_bytes(head[2 : 2 + width], "big") if width else head[1])
+    return -(-size * 8 // 6)
+
+
+def base64_keys(match: re.Match) -> Iterator[tuple[str, int, int]]:
+    """The private keys that a BASE64 match holds: all of it, or some of its lines among other keys or words."""
+    whole, first = match[0], match.start()
+    if kind := key_kind(whole):
+        yield kind, first, match.end()
+        return
+    breaks = [m.span() for m in BREAK.finditer(whole)]
+    starts, ends = [0, *(e for _, e in breaks)], [*(s for s, _ in breaks), len(whole)]
+    if len(starts) == 1:
+        return
+    letters = [0]
+    for s, e in zip(starts, ends):
+        letters.append(letters[-1] + len(whole[s:e].rstrip("=")))
+    at = 0
+    while at < len(starts):
+        line, tried = whole[starts[at] : ends[at]], []
+        wanted = der_letters(line)
+        if wanted and letters[at] + wanted <= letters[-1]:
+            tried = [bisect_left(letters, letters[at] + wanted) - 1]
+        elif line.startswith("b3BlbnNzaC1rZXktdjE"):  # openssh-key-v1
+            later = [i for i in range(at + 1, len(starts)) if whole.startswith("b3BlbnNzaC1rZXktdjE", starts[i])]
+            last = later[0] - 1 if later else len(starts) - 1
+            tried = [i for i in (last, last - 1) if i >= at]
+        for last in tried:
+            if kind := key_kind(whole[starts[at] : ends[last]]):
+                yield kind, first + starts[at], first + ends[last]
+                at = last
+                break
+        at += 1
 
 
 def spans_of(text: str | None) -> list[tuple[str, int, int]]:
@@ -155,7 +199,8 @@ def spans_of(text: str | None) -> list[tuple[str, int, int]]:
     for m in HEX_BYTES.finditer(text):
         if is_private_der(bytes.fromhex(m[0])):
             found.append(("der", *m.span()))
-    found += filter(None, map(base64_key, BASE64.finditer(text)))
+    for m in BASE64.finditer(text):
+        found += base64_keys(m)
     if "ey" in text:
         found += [("jwt", *m.span()) for m in JWT.finditer(text) if is_signed_header(m[1], m[2])]
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))

@@ -143,6 +143,28 @@ def test_structures_are_confirmed():
     assert start == 2
 
 
+def test_wrapped_keys_are_found_however_their_lines_are_parted():
+    key = der(0x30, b"".join(der(2, bytes([i + 1]) * 40) for i in range(9)))
+    lines = [base64.b64encode(key).decode()[i : i + 64] for i in range(0, 10_000, 64)]
+    lines = [x for x in lines if x]
+    head, tail = "-----BEGIN PRIVATE KEY-----", "-----END PRIVATE KEY-----"
+    for part in ("\n", "\r\n", "\n    ", "\n\t", "\n> ", "\n>> ", "\\n", "\\r\\n", "\\\\n"):
+        text = head + part + part.join(lines) + part + tail
+        (span,) = [s for s in secrets.spans_of(text) if s[0] in secrets.PARSED_KINDS]
+        assert span == ("der", text.index(lines[0]), text.index(lines[-1]) + len(lines[-1])), part
+    # several keys of one line each, parted as lines of one key are
+    short = [base64.b64encode(der(0x30, der(2, b"\x00") + der(0x30, der(6, b"\x2b\x65\x70")) + der(4, b"\x04\x20" + c * 32))).decode() for c in (b"k", b"l", b"m")]
+    for part in ("\n", "\n  ", "\\n"):
+        assert [k for k, _, _ in secrets.spans_of(part.join(short))] == ["der"] * 3
+
+
+def test_legacy_dsa_keys_are_found():
+    dsa = lambda version: der(0x30, b"".join(der(2, x) for x in (version, b"p" * 128, b"q" * 20, b"g" * 128, b"y" * 128, b"x" * 20)))
+    text = base64.b64encode(dsa(b"\x00")).decode()
+    assert secrets.spans_of(text) == [("der", 0, len(text))]
+    assert secrets.spans_of(base64.b64encode(dsa(b"\x05")).decode()) == []
+
+
 # --- lines
 
 
