@@ -3,7 +3,10 @@
 A line is compared by its words. Two lines are alike if at most one word was
 inserted, left out or replaced. A line goes if a like line stands earlier
 (smaller id, null ids last, then line number); the earliest of its kind stays.
-Lines of fewer than `min_words` words are never compared and always stay.
+Lines of fewer than `min_words` words stay unless `short_lines` is set. Then
+equal ones are repeats like any other, and those of MIN_CHARS characters or more
+(blanks not counted), as lines of scripts without blanks are, are compared by
+their characters: alike if at most one was inserted, left out or replaced.
 
 Equal lines are counted first, so that one that holds a third of all rows is
 one line from there on. Each distinct line then emits the hash of every variant
@@ -30,12 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.text import BASE, BASE_INVERSE, Block, blocks, mix64, powers, slice_hashes
+from ledgerlens.llm.text import BASE, BASE_INVERSE, IS_SPACE, Block, blocks, mix64, powers, slice_hashes
 from ledgerlens.operators.joins import fits_broadcast
 from ledgerlens.sources.scratch import stored
 
 MIN_WORDS = 5
+MIN_CHARS = 20  # of a line of fewer words, to be compared by its characters
 MAX_SENT_LINES = 1_000_000  # removed line numbers that are broadcast; more are joined by shuffle
+CHARACTER = np.uint64(0xD6E8FEB86659FD93)
 FRONT, BACK = np.uint64(0x8EBC6AF09C88C6E3), np.uint64(0x589965CC75374CC3)
 
 
@@ -54,6 +59,31 @@ def line_words(block: Block, min_words: int) -> tuple[np.ndarray, ...]:
     return owner[first], number[first], first, end
 
 
+def characters(block: Block) -> tuple[np.ndarray, np.ndarray]:
+    """Start and hash of every character that is not blank."""
+    leads = np.flatnonzero((block.data & 0xC0) != 0x80)
+    ends = np.append(leads[1:], len(block.data))[: len(leads)]
+    shown = ~IS_SPACE[block.data[leads]]
+    return leads[shown], slice_hashes(block.data, leads[shown], ends[shown]) ^ CHARACTER
+
+
+def compared_halves(block: Block, first: np.ndarray, end: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(line, key) as half_keys gives them, over words or, for lines of fewer than `min_words`, over characters."""
+    few = end - first < min_words
+    at, keys = half_keys(block.word_hashes(), first[~few], end[~few])
+    at = np.flatnonzero(~few)[at]
+    if few.any():
+        starts, ends, _ = block.words
+        places, hashes = characters(block)
+        begin, stop = np.searchsorted(places, starts[first]), np.searchsorted(places, ends[end - 1])
+        chosen = np.flatnonzero(few & (stop - begin >= MIN_CHARS))
+        line, more = half_keys(hashes, begin[chosen], stop[chosen])
+        at, keys = np.concatenate((at, chosen[line])), np.concatenate((keys, more))
+        order = np.argsort(at, kind="stable")
+        at, keys = at[order], keys[order]
+    return at, keys
+
+
 def half_keys(hashes: np.ndarray, first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(line, key): the halves that a line within one edit may share, two or four a line."""
     n = end - first
@@ -82,6 +112,29 @@ def deletion_variants(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarr
     return np.concatenate((line, lines)), np.concatenate((g - s, np.full(len(sizes), -1))), np.concatenate((deleted, whole))
 
 
+def line_variants(block: Block, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """deletion_variants of a block whose texts are single lines, over their words or, of fewer than `min_words`, their characters."""
+    _, _, offsets = block.words
+    few = np.diff(offsets) < min_words
+    kinds = [(~few, offsets, block.word_hashes())]
+    if few.any():
+        places, hashes = characters(block)
+        kinds.append((few, np.searchsorted(places, block.offsets), hashes))
+    found = []
+    for chosen, offsets, hashes in kinds:
+        if chosen.any():
+            sizes = np.diff(offsets)
+            line, at, keys = deletion_variants(hashes[np.repeat(chosen, sizes)], np.append(0, np.cumsum(sizes[chosen])))
+            found.append((np.flatnonzero(chosen)[line], at, keys))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def compared_parts(text: str, min_words: int) -> list:
+    """Words as bytes or, of a line of fewer than `min_words`, characters as text."""
+    words = text.encode().split()
+    return words if len(words) >= min_words else list(b"".join(words).decode())
+
+
 def within_one_edit(a: list, b: list) -> bool:
     """Whether word lists differ by at most one insertion, deletion or replacement."""
     if len(a) < len(b):
@@ -100,16 +153,16 @@ def _rows(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return df.select(F.col(id_column).alias("id"), F.xxhash64(text).alias("mark"), text.alias("text"))
 
 
-def _lines(rows: DataFrame, min_words: int) -> DataFrame:
+def _lines(rows: DataFrame, min_words: int, short_lines: bool) -> DataFrame:
     """(id, mark, line, hash, words, halves): one row per line that is compared."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch.column(2)):
-                owner, number, first, end = line_words(block, min_words)
+                owner, number, first, end = line_words(block, 1 if short_lines else min_words)
                 hashes = block.word_hashes()
                 owners = pa.array(owner + block.first)
-                at, keys = half_keys(hashes, first, end)
+                at, keys = compared_halves(block, first, end, min_words)
                 offsets = np.searchsorted(at, np.arange(len(first) + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -142,15 +195,14 @@ def _line_texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.dropDuplicates(["hash"])  # a row that repeats id and text has its lines twice
 
 
-def _variants(lines: DataFrame) -> DataFrame:
+def _variants(lines: DataFrame, min_words: int) -> DataFrame:
     """(key, at, hash, place) of every variant of every line."""
     place_type = lines.schema["place"].dataType.simpleString()
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch.column(2), 1 << 18):
-                _, _, offsets = block.words
-                line, at, keys = deletion_variants(block.word_hashes(), offsets)
+                line, at, keys = line_variants(block, min_words)
                 rows = pa.array(line + block.first)
                 for start in range(0, len(line), 20_000):
                     part = slice(start, start + 20_000)
@@ -168,23 +220,23 @@ def _variants(lines: DataFrame) -> DataFrame:
     return lines.select("hash", "place", "text").mapInArrow(emit, f"key bigint, at int, hash bigint, place {place_type}")
 
 
-def _verified(pairs: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, min_words: int) -> DataFrame:
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = (batch.column(i).to_pylist() for i in (1, 2))
-            alike = [within_one_edit(x.encode().split(), y.encode().split()) for x, y in zip(a, b)]
+            alike = [within_one_edit(compared_parts(x, min_words), compared_parts(y, min_words)) for x, y in zip(a, b)]
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(alike, pa.bool_()))], ["hash"])
 
     return pairs.select("hash", "text", "other_text").mapInArrow(check, "hash bigint")
 
 
-def _near_lines(rows: DataFrame, distinct: DataFrame) -> DataFrame:
+def _near_lines(rows: DataFrame, distinct: DataFrame, min_words: int) -> DataFrame:
     """Hashes of lines that have an earlier line within one edit."""
     keys = distinct.select("hash", F.explode("halves").alias("key"))
     shared = keys.groupBy("key").agg(F.min("hash").alias("lo"), F.max("hash").alias("hi")).filter("lo < hi")
     candidates = keys.join(shared.select("key"), "key").select("hash").distinct()
     lines = stored(_line_texts(rows, distinct.join(candidates, "hash").select("hash", "place")))
-    variants = stored(_variants(lines))
+    variants = stored(_variants(lines, min_words))
     met = variants.groupBy("key").agg(F.min("hash").alias("lo"), F.max("hash").alias("hi")).filter("lo < hi")
     variants = stored(variants.join(met.select("key"), "key"))
     one = F.struct("place", "hash")
@@ -196,21 +248,21 @@ def _near_lines(rows: DataFrame, distinct: DataFrame) -> DataFrame:
     pairs = pairs.filter(F.col("other.place") < F.col("place")).select("hash", F.col("other.hash").alias("other_hash")).distinct()
     text = lines.select("hash", "text")
     pairs = pairs.join(text, "hash").join(text.select(F.col("hash").alias("other_hash"), F.col("text").alias("other_text")), "other_hash")
-    return _verified(pairs).distinct()
+    return _verified(pairs, min_words).distinct()
 
 
 def repeated_lines(
-    df: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = MIN_WORDS
+    df: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = MIN_WORDS, short_lines: bool = False
 ) -> DataFrame:
     """(id, mark, removed): per document that loses lines, the hash of its text and the sorted line numbers (from 0)."""
     rows = _rows(df, id_column, text_column)
-    lines = stored(_lines(rows, min_words))
+    lines = stored(_lines(rows, min_words, short_lines))
     place = F.struct(F.col("id").isNull().alias("null"), "id", "mark", "line")
     distinct = lines.groupBy("hash", "words").agg(
         F.min(place).alias("place"), F.count("*").alias("copies"), F.any_value("halves").alias("halves")
     )
     distinct = stored(distinct)
-    near = _near_lines(rows, distinct).withColumn("near", F.lit(True))
+    near = _near_lines(rows, distinct, min_words).withColumn("near", F.lit(True))
     judged = distinct.drop("halves").join(near, "hash", "left").filter("copies > 1 OR near")
     judged = judged.select("hash", "words", F.col("place").alias("first"), F.coalesce("near", F.lit(False)).alias("near"))
     gone = lines.drop("halves").join(judged, ["hash", "words"]).filter(F.col("near") | (place != F.col("first")))
@@ -218,10 +270,10 @@ def repeated_lines(
 
 
 def without_repeated_lines(
-    df: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = MIN_WORDS
+    df: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = MIN_WORDS, short_lines: bool = False
 ) -> DataFrame:
     """(row, text, removed): each row of `df` as a struct, its text without repeated lines, and the line numbers that went."""
-    found = stored(repeated_lines(df, id_column, text_column, min_words))
+    found = stored(repeated_lines(df, id_column, text_column, min_words, short_lines))
     size = found.agg(F.coalesce(F.sum(F.size("removed")), F.lit(0))).first()[0]
     found = F.broadcast(found) if size <= MAX_SENT_LINES else found
     text = F.col(f"`{text_column}`").cast("string")

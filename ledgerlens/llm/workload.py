@@ -35,7 +35,7 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = line_dedup.without_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    cleaned = line_dedup.without_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), short_lines=True)
     return cleaned.select(
         "row.doc_id",
         F.size("removed").cast("long").alias("n_removed"),

@@ -210,6 +210,44 @@ def test_lines_against_all_pairs(spark, seed):
     assert lines_result(df) == expected_lines(marked(df))
 
 
+def test_short_lines_and_lines_without_blanks(spark, tmp_path):
+    """Equal short lines go; lines without blanks go if one character differs; compared with all earlier lines."""
+    rng = random.Random(4)
+    signs = "天地玄黃宇宙洪荒日月盈昃"
+    base = ["".join(rng.choice(signs) for _ in range(rng.randint(17, 26))) for _ in range(6)]
+
+    def line():
+        kind = rng.randrange(4)
+        if kind == 0:
+            return rng.choice(["read more", "read  more", "Menu", "log in", "天地", " "])
+        if kind == 1:
+            return rng.choice(["one two three four five", "one two three four six", "a b c d e f"])
+        x = list(rng.choice(base))
+        for _ in range(rng.randrange(3)):
+            at, change = rng.randrange(len(x)), rng.randrange(3)
+            x[at : at + (change > 0)] = [rng.choice(signs)] if change < 2 else []
+        return "".join(x)
+
+    rows = [(i, "\n".join(line() for _ in range(rng.randint(0, 6)))) for i in range(80)]
+    parts = lambda x: brute.words(x) if len(brute.words(x)) >= 5 else list("".join(brute.words(x)))
+    expected, earlier = {}, []
+    for id_, text in rows:
+        gone = []
+        for number, x in enumerate(text.split("\n")):
+            mine, long = parts(x), len(brute.words(x)) >= 5
+            if brute.words(x):
+                if any(brute.words(x) == brute.words(y) for y in earlier) or any(
+                    long == (len(brute.words(y)) >= 5) and (long or min(len(mine), len(parts(y))) >= line_dedup.MIN_CHARS) and brute.edits(mine, parts(y)) <= 1
+                    for y in earlier
+                ):
+                    gone.append(number)
+                earlier.append(x)
+        expected[id_] = ",".join(map(str, gone))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r["doc_id"]: r["removed_lines"] for r in workload.op2_line_dedup(spark, str(tmp_path)).collect()}
+    assert found == expected
+
+
 def test_edit_distance_of_words():
     rng = random.Random(3)
     for _ in range(2000):
