@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm import (
     language_id,
+    lexical_search,
     line_dedup,
     mixing,
     near_dedup,
@@ -14,9 +15,12 @@ from ledgerlens.llm import (
     secrets,
     sentencepiece,
     sharding,
+    spelling,
+    url_filter,
     vector_dedup,
     vector_search,
 )
+from ledgerlens.llm.oracles import ORACLE as SEARCH_ORACLE
 from ledgerlens.llm.shipping import ship
 
 
@@ -91,6 +95,21 @@ def op10_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_search.nearest(vectors, vectors.filter("vec_id % 100 = 0"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The label of an id is taken as the outcome of the page with that id; bad is low quality or toxic."""
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    outcomes = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), outcomes)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -104,6 +123,9 @@ QUERIES = {
         op8_sentencepiece,
         op9_vector_dedup,
         op10_vector_search,
+        op11_lexical_search,
+        op12_spelling,
+        op13_url_filter,
     )
 }
 
@@ -149,4 +171,4 @@ SELECT doc_id, size, source_size, target,
        (size * (whole + CASE WHEN place <= coalesce(cut, -1) OR place = coalesce(best.place, -1) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM rest r JOIN cuts c ON r.source IS NOT DISTINCT FROM c.source
 LEFT JOIN extras e ON r.source IS NOT DISTINCT FROM e.source""",
-}
+} | SEARCH_ORACLE
