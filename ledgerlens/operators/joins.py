@@ -13,8 +13,6 @@ BROADCAST_ROWS = 200_000
 # always fewer than HOT_SHARE hot keys, however large the table.
 HOT_SHARE = 10_000
 SALTS = 1 << 20
-# Bits of a key filter, used for up to 2**23 keys; in 64-bit words at most 2**20 rows to broadcast.
-FILTER_BITS = 1 << 26
 
 
 def fits_broadcast(side: DataFrame, max_rows: int | None = None) -> bool:
@@ -69,39 +67,6 @@ def spread_left_join(
     )
 
 
-def may_match(facts: DataFrame, side: DataFrame, on: list[str]) -> DataFrame:
-    """Rows of `facts` whose key may occur in `side`; drops most others unshuffled.
-
-    A one-hash Bloom filter of fixed size: the bits of `side` are or-ed into
-    words, and the words are broadcast. A fuller filter lets more rows through,
-    so an exact join has to follow.
-    """
-    slot = F.expr(f"xxhash64({', '.join(on)}) & {FILTER_BITS - 1}L")
-    bit = "shiftleft(1L, cast(_slot & 63 AS int))"
-    words = (
-        side.select(slot.alias("_slot"))
-        .groupBy(F.expr("shiftright(_slot, 6) AS _side_word"))
-        .agg(F.expr(f"bit_or({bit}) AS _side_bits"))
-    )
-    hit = F.expr(f"shiftright(_slot, 6) = _side_word AND (_side_bits & {bit}) <> 0")
-    return facts.withColumn("_slot", slot).join(F.broadcast(words), hit, "left_semi").drop("_slot")
-
-
-def matching(facts: DataFrame, keys: DataFrame, key: str, weight: str, spread_by: str) -> DataFrame:
-    """Rows of `facts` whose `key` is in `keys` (stored, one row a key, `weight` rows behind it).
-
-    Up to an eighth as many keys as the filter has bits, the filter alone decides
-    and lets some other rows through; nothing is shuffled. Beyond that it would
-    be too full to help, and the join is exact.
-    """
-    if fits_broadcast(keys):
-        return facts.join(F.broadcast(keys.select(key)), key, "left_semi").select(*quoted(facts.columns))
-    if fits_broadcast(keys, FILTER_BITS // 8):
-        return may_match(facts, keys, [key])
-    marked = [side.select(key).withColumn("_found", F.lit(True)) for side in (keys, hot_rows(keys, weight))]
-    return spread_left_join(facts, *marked, [key], spread_by).filter("_found").drop("_found")
-
-
 def lookup_join(
     facts: DataFrame,
     side: DataFrame,

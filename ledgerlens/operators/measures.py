@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens import functions as fn
-from ledgerlens.operators.joins import hot_keys, spread_left_join
+from ledgerlens.operators.joins import lookup_join
 from ledgerlens.schema import DUPLICATE, MISSING_INVOICE, OUT_OF_HOURS, OVER_LIMIT, SEVERITY_RANK
 
 
@@ -47,14 +47,13 @@ def star_join(register: DataFrame, dates: DataFrame, vendors: DataFrame, severit
     """Fact rows with the attributes of their dimensions.
 
     Dates and severities are small by nature (a row per calendar day, three
-    severities) and are broadcast. Vendors may be many and one may own
-    a large share of the facts: hot vendors are split off the shuffle join.
+    severities) and are broadcast. Vendors are counted: few are broadcast, and of
+    many the hot ones are split off the shuffle join.
     """
     named = vendors.groupBy("vendor_id").agg(F.min("vendor_name").alias("dim_vendor_name"))
-    hot = hot_keys(register, ["vendor_id"]).join(named, "vendor_id", "left")
     days = dates.withColumnRenamed("date", "transaction_date")
     return (
-        spread_left_join(register, named, hot, ["vendor_id"], "transaction_id")
+        lookup_join(register, named, ["vendor_id"])
         .join(F.broadcast(days), "transaction_date", "left")
         .join(F.broadcast(severities), "severity", "left")
     )

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.checks import audit_rules
-from ledgerlens.operators.duplicates import duplicate_rows
+from ledgerlens.operators.checks import audit_rules, merge_with_vendor_limits
+from ledgerlens.operators.duplicates import Candidates, duplicate_rows
 from ledgerlens.operators.ids import with_dense_id
 from ledgerlens.schema import (
     BASE_COLUMNS,
@@ -19,7 +19,6 @@ from ledgerlens.schema import (
     SEVERITY,
     AuditSettings,
 )
-from ledgerlens.sources.scratch import stored
 
 ENTRY_COLUMNS = [c for c in REGISTER_COLUMNS if c != "exception_id"]
 RANK = "check_rank"
@@ -41,10 +40,15 @@ def register_order() -> list[Column]:
     return [F.col(RANK), dated.asc_nulls_last(), F.col("transaction_id")]
 
 
-def number_exceptions(entries: DataFrame) -> DataFrame:
-    """Number the register. It is stored first: a sort reads its input twice, to
-    sample bounds and to move rows, and the checks should run once."""
-    return with_dense_id(stored(entries), register_order(), "exception_id").select(*REGISTER_COLUMNS)
+def found_per_check() -> dict[str, Column]:
+    """Register rows of each check, as metrics of the write that numbers them."""
+    return {check: F.count_if(F.col("detected_by") == check) for check in CHECKS}
+
+
+def number_exceptions(entries: DataFrame, observation: Observation | None = None) -> DataFrame:
+    """Number the register, stored once; `observation` takes the rows of each check in that write."""
+    numbered = with_dense_id(entries, register_order(), "exception_id", observation, found_per_check())
+    return numbered.select(*REGISTER_COLUMNS)
 
 
 def union_entries(results: dict[str, DataFrame]) -> DataFrame:
@@ -66,19 +70,26 @@ def build_register(results: dict[str, DataFrame]) -> DataFrame:
     return number_exceptions(union_entries(results))
 
 
-def exception_entries(merged: DataFrame, settings: AuditSettings = AuditSettings()) -> DataFrame:
+def exception_entries(
+    merged: DataFrame, settings: AuditSettings = AuditSettings(), payments: DataFrame | Candidates | None = None
+) -> DataFrame:
     """Register rows, still unnumbered.
 
     The three row-local rules share one scan and no shuffle: each row explodes
     into the ranks of the rules it breaks. Type, reason and severity are looked
     up after that, so a summary that needs none of them computes none of them.
     Only duplicates need other rows, and only their candidates are shuffled.
+
+    Duplicates are sought in `payments`, the rows without limits or their stored
+    candidates. Without them it is the merged rows: where a vendor has several limits, the
+    merge repeats its payments, and these repeats count as duplicates of each other.
     """
     rules = audit_rules(settings)
     rank = F.col(RANK)
     local = [F.when(r.fires, F.lit(i)) for i, r in enumerate(rules) if r.check != DUPLICATE_CHECK]
     broken = merged.withColumn(RANK, F.explode(F.array_compact(F.array(*local))))
-    duplicated = duplicate_rows(merged, settings.dup_window_days).withColumn(RANK, F.lit(0))
+    source = merged if payments is None else payments
+    duplicated = duplicate_rows(source, settings.dup_window_days).withColumn(RANK, F.lit(0))
     by_rank = lambda texts: F.element_at(F.array(*[F.lit(t) for t in texts]), rank + 1)
     texts = {
         "exception_type": by_rank([r.exception_type for r in rules]),
@@ -86,16 +97,28 @@ def exception_entries(merged: DataFrame, settings: AuditSettings = AuditSettings
         "detected_by": by_rank([r.check for r in rules]),
     }
     return (
-        duplicated.unionByName(broken)
+        duplicated.unionByName(broken, allowMissingColumns=True)
         .withColumns(texts)
         .transform(assign_severity)
         .select(*BASE_COLUMNS, "exception_type", "reason", "severity", "detected_by", RANK)
     )
 
 
-def exception_register(merged: DataFrame, settings: AuditSettings = AuditSettings()) -> DataFrame:
-    """Numbered register over prepared, limit-merged transactions."""
-    return number_exceptions(exception_entries(merged, settings))
+def audited_entries(transactions: DataFrame, limits: DataFrame, settings: AuditSettings = AuditSettings()) -> DataFrame:
+    """Register rows of prepared transactions against limits; duplicates do without the limit join, unless a vendor has several."""
+    repeated = limits.groupBy("vendor_id").count().filter("count > 1 AND vendor_id IS NOT NULL")
+    merged = merge_with_vendor_limits(transactions, limits)
+    return exception_entries(merged, settings, transactions if repeated.isEmpty() else None)
+
+
+def exception_register(
+    merged: DataFrame,
+    settings: AuditSettings = AuditSettings(),
+    payments: DataFrame | Candidates | None = None,
+    observation: Observation | None = None,
+) -> DataFrame:
+    """Numbered register over prepared, limit-merged transactions; see `exception_entries`."""
+    return number_exceptions(exception_entries(merged, settings, payments), observation)
 
 
 def checks_per_transaction(register: DataFrame) -> DataFrame:

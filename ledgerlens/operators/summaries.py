@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlens import functions as fn
-from ledgerlens.operators.checks import merge_with_vendor_limits, sql_out_of_hours_test
+from ledgerlens.operators.checks import sql_out_of_hours_test
 from ledgerlens.operators.duplicates import count_semi_join_duplicates
+from ledgerlens.operators.joins import lookup_join
 from ledgerlens.schema import DUPLICATE, MISSING_INVOICE, OUT_OF_HOURS, OVER_LIMIT
 
 
@@ -56,23 +57,27 @@ def data_quality(cleaned: DataFrame) -> DataFrame:
 
 
 def sql_exception_counts(tx: DataFrame, limits: DataFrame) -> DataFrame:
-    """Flagged rows of each SQL check: (exception_type, exception_count)."""
-    row_local = unpivot_row(
-        tx.agg(
-            F.count_if(fn.is_blank(F.col("invoice_number"))).alias("missing"),
-            F.count_if(sql_out_of_hours_test()).alias("hours"),
-        ),
-        "exception_type",
-        {MISSING_INVOICE: [F.col("missing")], OUT_OF_HOURS: [F.col("hours")]},
-        ["exception_count"],
-    )
-    over = merge_with_vendor_limits(tx, limits).agg(
-        F.count_if(F.col("amount") > F.col("approval_limit")).alias("exception_count")
-    )
-    labelled = lambda df, t: df.select(F.lit(t).alias("exception_type"), "exception_count")
-    return (
-        labelled(count_semi_join_duplicates(tx), DUPLICATE).unionAll(row_local).unionAll(labelled(over, OVER_LIMIT))
+    """Flagged rows of each SQL check: (exception_type, exception_count).
+
+    The row-local tests and the limit test share one aggregate. A vendor with several limits
+    repeats its payments there; the row-local tests count the first repeat only.
+    """
+    nth = Window.partitionBy("vendor_id").orderBy("approval_limit")
+    known = limits.filter("vendor_id IS NOT NULL").select("vendor_id", "approval_limit", F.row_number().over(nth).alias("_nth"))
+    once = F.coalesce(F.col("_nth"), F.lit(1)) == 1
+    counts = lookup_join(tx, known, ["vendor_id"]).agg(
+        F.count_if(once & fn.is_blank(F.col("invoice_number"))).alias("missing"),
+        F.count_if(once & sql_out_of_hours_test()).alias("hours"),
+        F.count_if(F.col("amount") > F.col("approval_limit")).alias("over"),
     )
+    rows = {MISSING_INVOICE: [F.col("missing")], OUT_OF_HOURS: [F.col("hours")], OVER_LIMIT: [F.col("over")]}
+    duplicates = count_semi_join_duplicates(tx).select(F.lit(DUPLICATE).alias("exception_type"), "exception_count")
+    return duplicates.unionAll(unpivot_row(counts, "exception_type", rows, ["exception_count"]))
+
+
+def observed_row_counts(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """Row counts that were taken while the tables were written: (name, row_count)."""
+    return spark.createDataFrame(list(counts.items()), "name string, row_count long")
 
 
 def row_counts(transactions: DataFrame, limits: DataFrame, register: DataFrame, checks) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlens.operators import cleaning, register, summaries
 from ledgerlens.operators.checks import merge_with_vendor_limits
@@ -30,24 +32,39 @@ class AuditResult:
             discard(self.transactions.sparkSession, self.run_folder)
 
 
-def audit(transactions: DataFrame, limits: DataFrame, settings: AuditSettings = AuditSettings()) -> AuditResult:
+def audit(
+    transactions: DataFrame,
+    limits: DataFrame,
+    settings: AuditSettings = AuditSettings(),
+    known_counts: Callable[[], dict[str, int]] | None = None,
+) -> AuditResult:
     """Audit cleaned transactions against cleaned vendor limits.
 
     Numbering the register stores it, so the summaries read the stored register
     instead of running the checks again. Where the limits are too many to
     broadcast, the merged table is stored too: it is shuffled once, not per check.
+    `known_counts` gives the rows of both inputs, if they were counted as they were written; the rows
+    of each check are counted in the write of the register.
     """
     merged = merge_with_vendor_limits(transactions, limits)
+    repeated = limits.groupBy("vendor_id").count().filter("count > 1 AND vendor_id IS NOT NULL")
+    payments = transactions if repeated.isEmpty() else None
     if not fits_broadcast(limits):
         merged = stored(merged)
-    found = register.exception_register(merged, settings)
+    per_check = Observation()
+    found = register.exception_register(merged, settings, payments, per_check)
+    if known_counts:
+        spark, counts = transactions.sparkSession, known_counts() | per_check.get
+        row_counts = summaries.observed_row_counts(spark, counts)
+    else:
+        row_counts = summaries.row_counts(transactions, limits, found, CHECKS)
     return AuditResult(
         transactions=transactions,
         register=found,
         by_type=summaries.summarise_by_type(found),
         by_vendor=summaries.summarise_by_vendor(found),
         data_quality=summaries.data_quality(transactions),
-        row_counts=summaries.row_counts(transactions, limits, found, CHECKS),
+        row_counts=row_counts,
     )
 
 
@@ -64,14 +81,19 @@ def run_audit(
     """Read both CSV tables, audit them and write the four result tables to `out_dir`.
 
     The cleaned transactions are stored once: the checks read them several times,
-    each time other columns, and text would be parsed anew. The frames of the
+    each time other columns, and text would be parsed anew. Rows are counted
+    as they are written, so no job only counts. The frames of the
     result read intermediate tables, which the caller deletes by `discard()`.
     """
     with run_folder(spark) as folder:
         raw = csv.load_transactions(spark, transactions_path, multiline)
-        transactions = stored(cleaning.clean_transactions(raw, dates_with_time))
-        limits = cleaning.clean_vendor_limits(csv.load_vendor_limits(spark, limits_path, multiline))
-        result = replace(audit(transactions, limits, settings), run_folder=folder)
+        counted = {name: Observation() for name in ("transactions", "vendors")}
+        rows = {"rows": F.count("*")}
+        transactions = stored(cleaning.clean_transactions(raw, dates_with_time), counted["transactions"], rows)
+        raw_limits = csv.load_vendor_limits(spark, limits_path, multiline)
+        limits = stored(cleaning.clean_vendor_limits(raw_limits), counted["vendors"], rows)
+        counts = lambda: {name: seen.get["rows"] for name, seen in counted.items()}
+        result = replace(audit(transactions, limits, settings, counts), run_folder=folder)
     csv.export_exception_register(result.register, out_dir, fmt)
     csv.export_summaries(result.by_type, result.by_vendor, result.data_quality, out_dir, fmt)
     return result

@@ -11,6 +11,15 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Wide at first, for tables of many TB; adaptive execution merges what is small.
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Semi joins with repeated groups: the filter is built from up to 512 MB of hashes and used on scans of 1 GB or more.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "512m",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1g",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "16000000",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": "268435456",
 }
 
 

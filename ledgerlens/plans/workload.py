@@ -65,9 +65,13 @@ def untidy_entries(spark, sf_dir) -> DataFrame:
     return register.exception_entries(untidy_merged(spark, sf_dir)).drop(register.RANK)
 
 
+def ranked_entries(spark, sf_dir) -> DataFrame:
+    return register.audited_entries(prepared(spark, sf_dir), t.limits(spark, sf_dir))
+
+
 def entries(spark, sf_dir) -> DataFrame:
     """Register rows without ids, which no summary needs."""
-    return register.exception_entries(merged(spark, sf_dir)).drop(register.RANK)
+    return ranked_entries(spark, sf_dir).drop(register.RANK)
 
 
 def counted(sql_column: str) -> str:
@@ -343,6 +347,23 @@ def cluster_size(spark, sf_dir):
     return sizes.withColumn("invoice_key", F.coalesce("invoice_key", F.lit("")))
 
 
+@query(
+    f"""WITH {CLUSTER_SQL}
+    SELECT 'chained' AS rule, transaction_id, -1 AS cluster, -1 AS cluster_size FROM neighbours WHERE {t.CHAINED}
+    UNION ALL SELECT 'paired', transaction_id, -1, -1 FROM tx t WHERE {EXISTS_SQL}
+    UNION ALL SELECT 'clustered', transaction_id, cluster, cluster_size FROM sized WHERE cluster_size >= 3"""
+)
+def duplicate_rules_stored(spark, sf_dir):
+    """Three duplicate rules over candidates that are stored once, bucketed by group."""
+    found = duplicates.store_candidates(t.transactions(spark, sf_dir))
+    none = F.lit(-1).cast("long")
+    plain = {"chained": duplicates.duplicate_rows(found), "paired": duplicates.semi_join_duplicates(found)}
+    rows = [df.select(F.lit(r).alias("rule"), "transaction_id", none.alias("cluster"), none.alias("cluster_size")) for r, df in plain.items()]
+    clusters = duplicates.duplicate_clusters(found, min_size=3)
+    rows.append(clusters.select(F.lit("clustered").alias("rule"), "transaction_id", "cluster", "cluster_size"))
+    return rows[0].unionAll(rows[1]).unionAll(rows[2])
+
+
 @query(
     f"""WITH {t.TX_SQL}, {t.neighbours_sql("tx")} SELECT transaction_id, vendor_id, transaction_date,
     CAST(coalesce(gap_before, -1) AS INTEGER) AS day_gap FROM neighbours"""
@@ -371,7 +392,7 @@ def exception_register(spark, sf_dir):
 
 @query(f"WITH {t.REGISTER_SQL} SELECT * FROM register")
 def exception_register_single_pass(spark, sf_dir):
-    return register.exception_register(merged(spark, sf_dir))
+    return register.number_exceptions(ranked_entries(spark, sf_dir))
 
 
 @query(f"WITH {t.UNTIDY_REGISTER_SQL} SELECT * FROM register")
@@ -813,7 +834,7 @@ def scalar_math(spark, sf_dir):
         for c in REGISTER_COLUMNS)} FROM register"""
 )
 def register_roundtrip(spark, sf_dir):
-    found = register.exception_register(merged(spark, sf_dir))
+    found = register.number_exceptions(ranked_entries(spark, sf_dir))
     path = csv.export_exception_register(found, scratch_path(spark, "register"))
     return csv.read_text_table(spark, path, REGISTER_COLUMNS)
 

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 CONF = "spark.checkpoint.dir"
 _RUN: ContextVar[str | None] = ContextVar("run_folder", default=None)
@@ -52,13 +52,16 @@ def discard(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, observation: Observation | None = None, metrics: dict[str, Column] | None = None) -> DataFrame:
     """Write `df` to the shared folder and read it from there.
 
     Cuts the lineage of a frame that is used several times. As Parquet, so that
-    each later pass reads only the columns it needs.
+    each later pass reads only the columns it needs. `observation` takes the
+    aggregates `metrics` over the rows as they are written; these tasks are the
+    last of their job, so one that runs again counts once.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "table")
-    df.write.parquet(path)
+    observed = df.observe(observation, *[m.alias(name) for name, m in metrics.items()]) if observation else df
+    observed.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -6,7 +6,7 @@ from decimal import Decimal
 import helpers as h
 import pytest
 
-from ledgerlens.operators import checks, duplicates, joins
+from ledgerlens.operators import checks, duplicates
 
 
 def days(*offsets):
@@ -69,10 +69,10 @@ def test_repeated_id_is_no_partner_in_sql(spark):
 
 
 @pytest.mark.parametrize("seed", range(4))
-@pytest.mark.parametrize("hot_share", [2, joins.HOT_SHARE])
-def test_random_groups(spark, monkeypatch, seed, hot_share):
-    """With a hot share of 2 no day is hot, with the default one every day is."""
-    monkeypatch.setattr(joins, "HOT_SHARE", hot_share)
+@pytest.mark.parametrize("hot_rows", [5, duplicates.HOT_ROWS])
+def test_random_groups(spark, monkeypatch, seed, hot_rows):
+    """Groups of more than five payments are hot, then none is."""
+    monkeypatch.setattr(duplicates, "HOT_ROWS", hot_rows)
     payments = h.random_payments(seed, 400, with_nulls=seed % 2 == 1)
     df = h.prepared(spark, payments)
     clusters = h.chain_clusters(payments)
@@ -83,6 +83,13 @@ def test_random_groups(spark, monkeypatch, seed, hot_share):
     assert counted == len(h.paired_duplicates(payments))
     found = {r.transaction_id: (r.cluster, r.cluster_size) for r in duplicates.duplicate_clusters(df).collect()}
     assert found == {t: (n, size) for t, (_, n, size) in clusters.items() if size >= 2}
+    store = duplicates.store_candidates(df, buckets=3)
+    assert (store.hot is None) == (hot_rows > 400)
+    assert h.ids(duplicates.duplicate_rows(store)) == expected
+    assert h.ids(duplicates.semi_join_duplicates(store)) == h.paired_duplicates(payments)
+    found = {r.transaction_id: (r.cluster, r.cluster_size) for r in duplicates.duplicate_clusters(store).collect()}
+    assert found == {t: (n, size) for t, (_, n, size) in clusters.items() if size >= 2}
+    store.discard()
 
 
 def test_chain_rule_equals_pair_rule_without_nulls(spark):
@@ -91,7 +98,9 @@ def test_chain_rule_equals_pair_rule_without_nulls(spark):
     assert h.ids(checks.check_duplicate_payments(df)) == h.ids(checks.sql_duplicate_payments(df))
 
 
-def test_day_gaps(spark):
+@pytest.mark.parametrize("hot_rows", [2, duplicates.HOT_ROWS])
+def test_day_gaps(spark, monkeypatch, hot_rows):
+    monkeypatch.setattr(duplicates, "HOT_ROWS", hot_rows)
     df = same_key(spark, 3, 0, 3, 10, None)
     gaps = {r.transaction_id: r.day_gap for r in duplicates.day_gaps(df).collect()}
     assert gaps == {"T00001": None, "T00000": 3, "T00002": 0, "T00003": 7, "T00004": None}
@@ -106,6 +115,8 @@ def test_one_group_holding_every_row(spark):
         "cast(5 AS decimal(18,2)) AS amount", "'GBP' AS currency", "cast(null AS string) AS invoice_number",
         "'BACS' AS payment_method", "'posted' AS status",
     )
+    hot = duplicates.candidates(duplicates.with_invoice_key(rows))
+    assert hot.hot.count() == 200_000 and hot.cold.count() == 0
     assert duplicates.duplicate_rows(rows).count() == 200_000
     assert duplicates.semi_join_duplicates(rows).count() == 200_000
     sizes = duplicates.cluster_sizes(rows).collect()
