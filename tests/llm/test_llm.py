@@ -559,10 +559,27 @@ def test_best_path_has_the_best_score(machine):
     for _ in range(200):
         text = sentencepiece.META + "".join(rng.choice(["the", "ing", "a", "ß", "q", "\n", "é", sentencepiece.META, "tion", "\U0001f9ff", "er"]) for _ in range(rng.randint(1, 12)))
         assert score(text, machine.best_path(text)) == pytest.approx(best(text))
-        runs = [i for run in machine.runs.findall(text) for i in machine.run_ids(run)]
+        runs = [i for run in machine.runs.findall(text) for i in machine.best_path(run)]
         assert score(text, runs) == pytest.approx(best(text))
 
 
+def test_columns_are_coded_like_single_texts(machine, documents, monkeypatch):
+    import pyarrow as pa
+
+    rng, meta = random.Random(7), sentencepiece.META
+    parts = ["the", "ing", "a", "ß", "q", "\n", "é", meta, "tion", "\U0001f9ff", "er", " ", "  ", "\r\n", "漢字", "x" * 300]
+    texts = [None, "", " ", "\n", meta, f"a{meta}b", *["".join(rng.choices(parts, k=rng.randint(1, 30))) for _ in range(300)]]
+    texts += [r.text for r in documents.select("text").limit(100).collect()]
+    expected = [None if t is None else machine.encode(t) for t in texts]
+    for side, few in ((1 << 20, 16), (500, 2)):
+        monkeypatch.setattr(sentencepiece, "SIDE_BY_SIDE", side)
+        monkeypatch.setattr(sentencepiece, "FEW", few)
+        ids, exact = machine.encode_column(pa.array(texts, pa.string()))
+        assert ids.to_pylist() == expected
+        assert exact.to_pylist() == [None if t is None else machine.decode(i) == t for t, i in zip(texts, expected)]
+        assert machine.encode_column(pa.array(texts, pa.string()).slice(3, 40))[0].to_pylist() == expected[3:43]
+
+
 # --- vectors
 
 
