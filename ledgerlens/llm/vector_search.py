@@ -8,8 +8,9 @@ visits the buckets of a table in falling order of that probability, until the
 visited ones add up to what TABLES tables need for the target recall. r is the
 distance of the wanted neighbour within a bounded sample (`SAMPLE` vectors), which
 is never less than the true one, so the stop errs on the side of visiting more.
-There is no cap on probes or candidates. A query that finds fewer than it wants
-is compared with all rows, in blocks.
+A query that finds fewer than it wants is compared with all rows, in blocks, and so is one
+whose wanted sum takes more than MOST_PROBES buckets of a table or more than there are (its
+neighbours are many cells away): hashing has nothing to save there. Candidates have no cap.
 
 Equal vectors form a class: one is indexed, its `k + 1` smallest ids are put in
 after the search. Buckets are cut into blocks of rows and of queries, and each
@@ -40,6 +41,7 @@ TABLES, TARGET = 2, 0.97
 SAMPLE = 8192
 CELL = 1.6  # width of a cell, in typical neighbour distances
 ROWS_BLOCK, QUERIES_BLOCK = 4096, 1024
+MOST_PROBES = 20_000  # of a table; a query that needs more meets all rows
 SEED = 20240301
 
 
@@ -70,10 +72,10 @@ def normal_cdf(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.vectorize(math.erf, otypes=[float])(x / math.sqrt(2)))
 
 
-def probe_cells(place: np.ndarray, spread: float, enough: float) -> np.ndarray:
+def probe_cells(place: np.ndarray, spread: float, enough: float, most: int = MOST_PROBES) -> np.ndarray | None:
     """Cells in falling order of the probability that a neighbour `spread` cells away is there, up to `enough` in sum.
 
-    The query's own cell always comes along.
+    The query's own cell always comes along. None, if that takes more than `most` cells.
     """
     home = np.floor(place).astype(np.int64)
     reach = int(min(64, math.ceil(4 * spread) + 1))
@@ -89,6 +91,8 @@ def probe_cells(place: np.ndarray, spread: float, enough: float) -> np.ndarray:
     waiting = [(-float(chance[:, 0].prod()), start, 0)]
     found, total = [], 0.0
     while waiting and total < enough:
+        if len(found) >= most:
+            return None
         minus, ranks, last = heapq.heappop(waiting)
         total -= minus
         found.append([home[f] + options[f][r] for f, r in enumerate(ranks)])
@@ -115,8 +119,11 @@ def _hashed(rows: DataFrame, hashes) -> DataFrame:
     return rows.select("cls", "vec").mapInArrow(read, "bucket bigint, cls bigint, vec array<double>")
 
 
-def _probes(queries: DataFrame, hashes, sample, wanted: int) -> DataFrame:
-    """(bucket, cls, reach) of every bucket that a query visits; what is farther than `reach` can't be wanted."""
+def _probes(queries: DataFrame, hashes, sample, wanted: int, most: int) -> DataFrame:
+    """(bucket, cls, reach) of every bucket that a query visits; what is farther than `reach` can't be wanted.
+
+    A query that would visit more than `most` of a table visits none.
+    """
     enough = 1 - (1 - TARGET) ** (1 / TABLES)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,9 +136,9 @@ def _probes(queries: DataFrame, hashes, sample, wanted: int) -> DataFrame:
                 reach = distances[last - 1] * (1 + 1e-12) if len(distances) >= last else np.inf
                 distances = distances[distances > 0]
                 spread = distances[min(wanted, len(distances)) - 1] / maker.cell if len(distances) else 0.0
-                for table in range(TABLES):
-                    place = maker.places(points[at : at + 1], table)[0]
-                    keys = maker.keys(probe_cells(place, spread, enough), table)
+                cells = [probe_cells(maker.places(points[at : at + 1], table)[0], spread, enough, most) for table in range(TABLES)]
+                for table in range(TABLES if all(c is not None for c in cells) else 0):
+                    keys = maker.keys(cells[table], table)
                     arrays = [pa.array(keys), pa.array(np.full(len(keys), names[at])), pa.array(np.full(len(keys), reach))]
                     yield pa.RecordBatch.from_arrays(arrays, ["bucket", "cls", "reach"])
 
@@ -209,7 +216,8 @@ def nearest(
         radius = 1.0
     hashes = context.broadcast(Hashes(sample.shape[1], n, radius))
     index = stored(_hashed(distinct, hashes))
-    probes = _probes(asking.repartition(max(1, context.defaultParallelism), "cls"), hashes, context.broadcast(sample), k)
+    most = min(MOST_PROBES, index.select("bucket").distinct().limit(MOST_PROBES).count())
+    probes = _probes(asking.repartition(max(1, context.defaultParallelism), "cls"), hashes, context.broadcast(sample), k, most)
     probed = stored(probes.join(asking, "cls").select("bucket", "cls", "vec", "reach"))
     found = stored(_met(index, probed, wanted).distinct())
     # queries that found too few meet all rows, cut into blocks by a hash
