@@ -5,17 +5,18 @@ than 1/SPLIT of a shard's share (by bytes, tokens or rows) are placed one by
 one; the many small ones are first thrown into BUNDLES bundles a shard by the
 hash of their text, so a bounded number of items is packed however long the
 table is. Items go, largest first, to the shard where the dot product of the
-item with what is left of the shard's share is highest. The law that holds is
-`bytes`: bytes weigh most in the dot product. A group of more bytes than a whole
-shard's share can't stay together under that law; it is cut, by a hash of the
-id, into the fewest pieces that fit.
+item with what is left of the shard's share is highest; bytes, tokens and rows weigh
+the same. The law that holds is `bytes`: a shard takes an item only while it has room for
+its bytes, and the smallest items, LAST of all of them, go where most bytes are left. A group of more than a whole shard's share of bytes, tokens or
+rows can't stay together under that law; it is cut, by a hash of the row, into the
+fewest pieces that fit.
 
 Slots are numbered without one task seeing a shard whole: rows are counted per
 shard and cell (a hash of the id), a cell's rows are numbered, and the counts of
 the cells before are added.
 
-Null text is empty text, so the two are one group; null ids are hashed like any
-other. Repeated rows get slots of their own. An empty table has no rows.
+Null text is empty text, so the two are one group. Rows with null or repeated ids are spread
+by their place in the table, which is stored with them. Repeated rows get slots of their own. An empty table has no rows.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ SPLIT = 64  # a group above 1/SPLIT of a shard's share is an item of its own
 CELLS = 256  # a shard, for numbering
 ROW_BYTES = 8
 DIMENSIONS = ["bytes", "tokens", "rows"]
-DOT_WEIGHTS = (100.0, 1.0, 1.0)
+LAST = 0.25  # share of the items, smallest ones, that level the bytes
 
 
 def pack(items: list[Row], shards: int) -> list[tuple[int, int]]:
@@ -42,12 +43,13 @@ def pack(items: list[Row], shards: int) -> list[tuple[int, int]]:
         return []
     sizes = np.array([[float(r[d]) for d in DIMENSIONS] for r in items])
     shares = sizes / np.maximum(sizes.sum(axis=0) / shards, 1e-9)
-    weights = np.array(DOT_WEIGHTS)
-    order = sorted(range(len(items)), key=lambda i: (-float(shares[i] @ weights), items[i]["item"]))
+    order = sorted(range(len(items)), key=lambda i: (-float(shares[i].sum()), items[i]["item"]))
     left = np.ones((shards, len(DIMENSIONS)))
     placed = []
-    for i in order:
-        shard = int(np.argmax(left @ (shares[i] * weights)))
+    for nth, i in enumerate(order):
+        room = left[:, 0] >= shares[i, 0]
+        levelling = nth >= (1 - LAST) * len(order) or not room.any()
+        shard = int(np.argmax(left[:, 0] if levelling else np.where(room, left @ shares[i], -np.inf)))
         left[shard] -= shares[i]
         placed.append((items[i]["item"], shard))
     return placed
@@ -66,9 +68,9 @@ def _items(rows: DataFrame, shards: int) -> DataFrame:
     total = rows.agg(*_sums(*DIMENSIONS)).first()
     groups = rows.groupBy("group").agg(*_sums(*DIMENSIONS))
     large = " OR ".join(f"{d} * {SPLIT * shards}L > {total[d] or 0}L" for d in DIMENSIONS)
-    pieces = F.ceil(F.col("bytes") * shards / F.lit(max(1, total["bytes"] or 0))).cast("int")
+    pieces = F.greatest(*[F.ceil(F.col(d) * shards / F.lit(max(1, total[d] or 0))) for d in DIMENSIONS]).cast("int")
     marked = groups.filter(large).select(F.col("group").alias("_large"), pieces.alias("_pieces"))
-    piece = F.pmod(F.xxhash64(F.lit("piece"), "id"), F.col("_pieces"))
+    piece = F.pmod(F.xxhash64(F.lit("piece"), "id", "at"), F.col("_pieces"))
     bundle = F.pmod(F.col("group"), F.lit(shards * BUNDLES))
     item = F.when(F.col("_large").isNotNull(), F.xxhash64("_large", piece)).otherwise(bundle)
     return rows.join(F.broadcast(marked), F.col("group") == F.col("_large"), "left").select(
@@ -94,17 +96,18 @@ def assign_shards(
             word_count(text).alias("tokens"),
             F.lit(1).cast("long").alias("rows"),
             F.crc32(text.cast("binary")).alias("crc"),
+            F.monotonically_increasing_id().alias("at"),
         )
     )
     rows = _items(rows, shards)
     items = rows.groupBy("item").agg(*_sums(*DIMENSIONS)).collect()
     placed = spark.createDataFrame(pack(items, shards), "item long, shard int")
-    cell = F.pmod(F.xxhash64(F.lit("cell"), "id"), F.lit(CELLS)).cast("int")
+    cell = F.pmod(F.xxhash64(F.lit("cell"), "id", "at"), F.lit(CELLS)).cast("int")
     placed = stored(rows.join(F.broadcast(placed), "item").withColumn("cell", cell))
     before = Window.partitionBy("shard").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     counts = placed.groupBy("shard", "cell").agg(F.count("*").alias("_n"))
     offsets = counts.select("shard", "cell", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    in_cell = Window.partitionBy("shard", "cell").orderBy("id", "group", "bytes")
+    in_cell = Window.partitionBy("shard", "cell").orderBy("id", "group", "at")
     numbered = placed.withColumn("_nth", F.row_number().over(in_cell))
     return numbered.join(F.broadcast(offsets), ["shard", "cell"]).select(
         F.col("id").alias(id_column),

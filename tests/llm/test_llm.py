@@ -3,6 +3,7 @@
 import base64
 import json
 import random
+import time
 import zlib
 from pathlib import Path
 
@@ -494,6 +495,19 @@ def test_hot_group_is_cut_and_bytes_stay_even(spark):
     assert share > 1 and held <= int(share) + 1
 
 
+@pytest.mark.parametrize("id_", ["id", "CASE WHEN id % 3 = 0 THEN NULL ELSE id END"])
+def test_a_third_of_null_texts_is_spread_and_bytes_stay_even(spark, id_):
+    text = "CASE WHEN id % 3 = 0 THEN NULL ELSE concat(repeat('word ', cast(pmod(xxhash64(id), 60) AS int)), id) END"
+    rows = sharding.assign_shards(spark.range(12_000).selectExpr(f"{id_} AS doc_id", f"{text} AS text")).toPandas()
+    loads = rows.groupby("shard")["size"].agg(["sum", "count"])
+    assert len(rows) == 12_000 and len(loads) == sharding.SHARDS
+    assert loads["sum"].max() < 1.01 * loads["sum"].mean() and loads["sum"].min() > 0.99 * loads["sum"].mean()
+    # a piece of the null group is up to a whole share of rows, so rows are even only as far as such pieces allow
+    assert loads["count"].max() < 1.8 * loads["count"].mean() and loads["count"].min() > 0.6 * loads["count"].mean()
+    for _, part in rows.groupby("shard"):
+        assert sorted(part["slot"]) == list(range(len(part)))
+
+
 def test_pack_follows_the_dot_product():
     from pyspark.sql import Row
 
@@ -501,11 +515,12 @@ def test_pack_follows_the_dot_product():
     items = [Row(item=i, bytes=rng.randrange(1, 1000), tokens=rng.randrange(1, 200), rows=rng.randrange(1, 9)) for i in range(200)]
     totals = [sum(r[d] for r in items) / 5 for d in sharding.DIMENSIONS]
     share = {r["item"]: [r[d] / t for d, t in zip(sharding.DIMENSIONS, totals)] for r in items}
-    weight = lambda v: sum(w * x for w, x in zip(sharding.DOT_WEIGHTS, v))
     left, expected = [[1.0] * 3 for _ in range(5)], []
-    for i in sorted(share, key=lambda i: (-weight(share[i]), i)):
-        dots = [sum(w * x * y for w, x, y in zip(sharding.DOT_WEIGHTS, share[i], room)) for room in left]
-        best = dots.index(max(dots))
+    for nth, i in enumerate(sorted(share, key=lambda i: (-sum(share[i]), i))):
+        roomy = [room[0] >= share[i][0] for room in left]
+        dots = [sum(x * y for x, y in zip(share[i], room)) if fits else -9.0 for room, fits in zip(left, roomy)]
+        most = dots if nth < 150 and any(roomy) else [room[0] for room in left]
+        best = most.index(max(most))
         left[best] = [y - x for x, y in zip(share[i], left[best])]
         expected.append((i, best))
     assert sharding.pack(items, 5) == expected
@@ -647,6 +662,25 @@ def test_nearest_recall_and_exact_scores(spark):
     assert hits >= 0.9 * 10 * len(expected)
 
 
+def test_far_queries_end_and_are_exact(spark):
+    """Mostly near copies, which shrink the cells, and queries many times as long as the rest."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(3000, 64))
+    x[:2400] = x[0] + rng.normal(size=(2400, 64)) * 0.01
+    for i, times in ((2990, 60.0), (2991, 6.0), (2992, 1000.0)):
+        x[i] *= times
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    asked = [2990, 2991, 2992, 2500]
+    started = time.time()
+    found = vector_search.nearest(df, df.filter(F.col("vec_id").isin(asked))).collect()
+    assert time.time() - started < 60
+    for q in asked:
+        distances = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+        expected = sorted((d, i) for i, d in enumerate(distances) if i != q)[:10]
+        got = [(r["score"], r["vec_id"]) for r in sorted((r for r in found if r["query_id"] == q), key=lambda r: r["rank"])]
+        assert [i for _, i in got] == [i for _, i in expected] and np.allclose([d for d, _ in got], [d for d, _ in expected])
+
+
 def test_few_and_no_vectors(spark):
     schema = "vec_id long, embedding array<float>"
     none = spark.createDataFrame([], schema)
