@@ -1,15 +1,18 @@
 """Secret scan: text patterns, then structural confirmation of decoded candidates.
 
 Three patterns report what looks like a secret by its text (assign, access,
-hex). Four kinds are reported only after their bytes were parsed:
+hex). Five kinds are reported only after their bytes were parsed:
 
-- der: base64 or hex that decodes to a private key in ASN.1 (PKCS#1, PKCS#8,
-  encrypted PKCS#8, SEC1 or DSA), every nested length closing exactly; base64
-  lines may be indented, quoted, or parted by escaped line breaks,
+- der: base64 or hex that decodes to a private key in ASN.1: PKCS#1, SEC1 or DSA
+  with numbers of a plausible size, PKCS#8 with such a key inside, or PKCS#8 under a known
+  password scheme. Every length down to the inner key closes exactly. Lines of base64 may have any
+  width from 24 on, be indented, quoted, or parted by escaped line breaks; hex may
+  be wrapped or have colons,
 - openssh: base64 of an `openssh-key-v1` file whose length-prefixed fields
   close and whose private part is there,
-- jwt: a signed token whose header is a JSON object that names its algorithm
-  and whose payload is a JSON object.
+- jwt: a token with a signature, whose header is a JSON object that names its algorithm
+  and whose payload is a JSON object,
+- jwt_unsigned: the same under the algorithm `none`.
 
 Null and empty texts have no spans. Repeated rows are scanned each for itself.
 Positions are code points, ends exclusive. Whole texts are scanned; all patterns
@@ -30,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BASE_KINDS = ["assign", "access", "hex"]
-PARSED_KINDS = ["der", "openssh", "jwt"]
+PARSED_KINDS = ["der", "openssh", "jwt", "jwt_unsigned"]
 KINDS = BASE_KINDS + PARSED_KINDS
 
 KEYWORDS = ("passw", "secret", "token", "apikey", "api_key")
@@ -39,15 +42,17 @@ ASSIGN = re.compile(
 )
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
-# A run of hex pairs, of base64 lines (wrapped at 64, 70 or 76, as key tools do), or of base64 in either alphabet.
-HEX_BYTES = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){32,}(?![0-9A-Fa-f])")
-# Between the lines: a real or an escaped line break, then indentation or quote marks.
+# Between lines: a real or an escaped line break, then indentation or quote marks.
 BREAK = re.compile(r"""(?:\r?\n|(?:\\+r)?\\+n)[\x20\t>|"']*+""")
+HEX_PAIR = re.compile(r"[0-9A-Fa-f]{2}")
+# A run of hex pairs, bare, with colons or wrapped; of base64 lines; or of base64 in either alphabet.
+HEX_BYTES = re.compile(rf"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{{2}}(?::?+(?:{BREAK.pattern})?+)){{31,}}[0-9A-Fa-f]{{2}}(?![0-9A-Fa-f])")
 BASE64 = re.compile(
     r"(?:(?<![A-Za-z0-9+/_-])(?!(?<=\\)[nr])|(?<=\\n))"
-    rf"(?:(?:[A-Za-z0-9+/]{{64,76}}{BREAK.pattern})+[A-Za-z0-9+/]{{1,76}}={{0,2}}|[A-Za-z0-9+/_-]{{44,}}={{0,2}})"
+    rf"(?:(?:[A-Za-z0-9+/]{{24,}}{BREAK.pattern})+[A-Za-z0-9+/]+={{0,2}}|[A-Za-z0-9+/_-]{{44,}}={{0,2}})"
 )
-JWT = re.compile(r"(?<![A-Za-z0-9_.-])(ey[A-Za-z0-9_-]+)\.(ey[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
+# A JSON object starts with `ey` in base64, or with `ew` where a line break follows the brace.
+JWT = re.compile(r"(?<![A-Za-z0-9_.-])(e[wy][A-Za-z0-9_-]+)\.(e[wy][A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
 
 SEQUENCE, INTEGER, OCTETS, OBJECT_ID = 0x30, 0x02, 0x04, 0x06
 SPAN_TYPE = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
@@ -83,25 +88,63 @@ def der_fields(data: bytes) -> list[tuple[int, bytes]] | None:
     return fields
 
 
-def is_private_der(data: bytes) -> bool:
+# Object identifiers of key algorithms, and the beginnings of those of password-based schemes.
+RSA, EC, DSA = bytes.fromhex("2a864886f70d010101"), bytes.fromhex("2a8648ce3d0201"), bytes.fromhex("2a8648ce380401")
+EDWARDS = {bytes.fromhex("2b656e"): 32, bytes.fromhex("2b656f"): 56, bytes.fromhex("2b6570"): 32, bytes.fromhex("2b6571"): 57}
+PASSWORD_SCHEMES = (bytes.fromhex("2a864886f70d0105"), bytes.fromhex("2a864886f70d010c01"))
+
+
+def sequence(data: bytes) -> list[tuple[int, bytes]]:
+    """Fields of the one sequence that `data` is; none if it is no such thing."""
     outer = der_fields(data)
-    if not outer or len(outer) != 1 or outer[0][0] != SEQUENCE:
+    return (der_fields(outer[0][1]) or []) if outer and len(outer) == 1 and outer[0][0] == SEQUENCE else []
+
+
+def is_rsa_key(fields: list[tuple[int, bytes]]) -> bool:
+    """PKCS#1: version, modulus, exponents, primes, coefficients, then more primes if there are."""
+    if [tag for tag, _ in fields[:9]] != [INTEGER] * 9 or [tag for tag, _ in fields[9:]] not in ([], [SEQUENCE]):
         return False
-    fields = der_fields(outer[0][1]) or []
+    sizes = [len(content.lstrip(b"\0")) for _, content in fields[:9]]
+    return min(sizes[1], sizes[3]) >= 32 and min(sizes[4:]) >= 16 and sizes[2] >= 1
+
+
+def is_ec_key(fields: list[tuple[int, bytes]]) -> bool:
+    """SEC1: version 1, scalar, then curve and public point if they are there."""
+    tags = [tag for tag, _ in fields]
+    return tags[:2] == [INTEGER, OCTETS] and set(tags[2:]) <= {0xA0, 0xA1} and fields[0][1] == b"\x01" and 20 <= len(fields[1][1]) <= 72
+
+
+def is_dsa_key(fields: list[tuple[int, bytes]]) -> bool:
+    """Legacy DSA: version 0, primes and generator, public and private value."""
+    sound = [tag for tag, _ in fields] == [INTEGER] * 6 and all(content for _, content in fields)
+    return sound and fields[0][1] == b"\x00" and len(fields[1][1]) >= 64
+
+
+def holds_key(algorithm: bytes, inner: bytes) -> bool:
+    """Whether the octets of a PKCS#8 key are a private key of its algorithm; of one not known here, some ASN.1."""
+    if algorithm == RSA:
+        return is_rsa_key(sequence(inner))
+    if algorithm == EC:
+        return is_ec_key(sequence(inner))
+    fields = der_fields(inner) or []
+    if algorithm in EDWARDS:
+        return [(tag, len(content)) for tag, content in fields] == [(OCTETS, EDWARDS[algorithm])]
+    if algorithm == DSA:
+        return [tag for tag, _ in fields] == [INTEGER] and len(fields[0][1]) >= 16
+    return len(fields) == 1 and len(fields[0][1]) >= 16
+
+
+def is_private_der(data: bytes) -> bool:
+    fields = sequence(data)
     tags = [tag for tag, _ in fields]
-    if tags[:9] == [INTEGER] * 9:  # PKCS#1: version, modulus, exponents, primes, coefficients
-        return True
-    if tags == [INTEGER] * 6:  # legacy DSA: version 0, primes and generator, public and private value
-        return fields[0][1] == b"\x00" and len(fields[1][1]) >= 64 and all(content for _, content in fields)
-    if tags[:3] == [INTEGER, SEQUENCE, OCTETS]:  # PKCS#8: version, algorithm, wrapped key
-        algorithm = der_fields(fields[1][1])
-        return bool(algorithm) and algorithm[0][0] == OBJECT_ID
-    if tags[:2] == [INTEGER, OCTETS] and fields[0][1] == b"\x01":  # SEC1: version 1, scalar
-        return len(fields[1][1]) >= 20
+    if tags[:3] == [INTEGER, SEQUENCE, OCTETS]:  # PKCS#8: version, algorithm, wrapped key, attributes
+        algorithm = der_fields(fields[1][1]) or [(0, b"")]
+        sound = fields[0][1] in (b"\x00", b"\x01") and algorithm[0][0] == OBJECT_ID and set(tags[3:]) <= {0xA0, 0x81, 0xA1}
+        return sound and holds_key(algorithm[0][1], fields[2][1])
     if tags == [SEQUENCE, OCTETS]:  # encrypted PKCS#8: scheme, ciphertext
-        scheme = der_fields(fields[0][1])
-        return bool(scheme) and scheme[0][0] == OBJECT_ID and len(fields[1][1]) >= 32
-    return False
+        scheme = der_fields(fields[0][1]) or [(0, b"")]
+        return scheme[0][0] == OBJECT_ID and scheme[0][1].startswith(PASSWORD_SCHEMES) and len(fields[1][1]) >= 32
+    return is_rsa_key(fields) or is_ec_key(fields) or is_dsa_key(fields)
 
 
 def is_private_openssh(data: bytes) -> bool:
@@ -129,12 +172,24 @@ def is_private_openssh(data: bytes) -> bool:
     return None not in keys and bool(secret) and at == len(data)
 
 
-def is_signed_header(header: str, payload: str) -> bool:
+def token_kind(header: str, payload: str, signature: str) -> str | None:
     try:
         head, body = (json.loads(unbase64(x) or b"") for x in (header, payload))
     except (ValueError, RecursionError):
-        return False
-    return isinstance(head, dict) and isinstance(body, dict) and isinstance(head.get("alg"), str)
+        return None
+    if not (isinstance(head, dict) and isinstance(body, dict) and isinstance(head.get("alg"), str)):
+        return None
+    if head["alg"].lower() == "none":
+        return "jwt_unsigned"
+    return "jwt" if unbase64(signature) else None
+
+
+def hex_key(match: re.Match) -> tuple[int, int] | None:
+    """Start and end of the private key that the pairs of a HEX_BYTES match begin with."""
+    pairs = [m.span() for m in HEX_PAIR.finditer(match[0])]
+    data = bytes.fromhex("".join(match[0][s:e] for s, e in pairs))
+    size = der_size(data) or 0
+    return (match.start(), match.start() + pairs[size - 1][1]) if 0 < size <= len(data) and is_private_der(data[:size]) else None
 
 
 def key_kind(text: str) -> str | None:
@@ -142,16 +197,20 @@ def key_kind(text: str) -> str | None:
     return data and ("der" if is_private_der(data) else "openssh" if is_private_openssh(data) else None) or None
 
 
-def der_letters(text: str) -> int | None:
-    """Base64 letters of the ASN.1 sequence that starts with `text`, by its own length."""
-    head = unbase64(text[:8]) or b""
+def der_size(head: bytes) -> int | None:
+    """Bytes of the ASN.1 sequence that starts with `head`, by its own length."""
     if len(head) < 6 or head[0] != SEQUENCE:
         return None
     width = head[1] & 0x7F if head[1] >= 0x80 else 0
     if width > 4:
         return None
-    size = 2 + width + (int.from_bytes(head[2 : 2 + width], "big") if width else head[1])
-    return -(-size * 8 // 6)
+    return 2 + width + (int.from_bytes(head[2 : 2 + width], "big") if width else head[1])
+
+
+def der_letters(text: str) -> int | None:
+    """Base64 letters of the ASN.1 sequence that starts with `text`."""
+    size = der_size(unbase64(text[:8]) or b"")
+    return size and -(-size * 8 // 6)
 
 
 def base64_keys(match: re.Match) -> Iterator[tuple[str, int, int]]:
@@ -197,12 +256,13 @@ def spans_of(text: str | None) -> list[tuple[str, int, int]]:
         found += [("access", *m.span()) for m in ACCESS.finditer(text)]
     found += [("hex", *m.span()) for m in HEX.finditer(text)]
     for m in HEX_BYTES.finditer(text):
-        if is_private_der(bytes.fromhex(m[0])):
-            found.append(("der", *m.span()))
+        if m[0].startswith("30") and (key := hex_key(m)):
+            found.append(("der", *key))
     for m in BASE64.finditer(text):
         found += base64_keys(m)
-    if "ey" in text:
-        found += [("jwt", *m.span()) for m in JWT.finditer(text) if is_signed_header(m[1], m[2])]
+    for m in JWT.finditer(text) if "." in text else ():
+        if kind := token_kind(m[1], m[2], m[3]):
+            found.append((kind, *m.span()))
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 

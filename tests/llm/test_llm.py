@@ -159,6 +159,75 @@ def test_wrapped_keys_are_found_however_their_lines_are_parted():
         assert [k for k, _, _ in secrets.spans_of(part.join(short))] == ["der"] * 3
 
 
+RSA_OID, DIGEST_OID = bytes.fromhex("2a864886f70d010101"), bytes.fromhex("608648016503040201")
+SCHEME_OID, EC_OID = bytes.fromhex("2a864886f70d01050d"), bytes.fromhex("2a8648ce3d0201")
+
+
+def parsed_kinds(text):
+    return [s for s in secrets.spans_of(text) if s[0] in secrets.PARSED_KINDS]
+
+
+@pytest.mark.parametrize("is_key", [True, False])
+def test_inner_structures_decide(is_key):
+    """Each shape with what makes it a key, and with something else in that place."""
+    size = 40 if is_key else 1
+    rsa = der(0x30, der(2, b"\0") + b"".join(der(2, bytes([i + 1]) * size) for i in range(8)))
+    scheme = der(0x30, der(6, SCHEME_OID if is_key else DIGEST_OID) + der(5, b""))
+    ec = der(0x30, der(2, b"\1") + der(4, b"s" * 32) + (der(0xA1, b"p" * 66) if is_key else der(0x30, b"p" * 66)))
+    wrapped = lambda oid, inner: der(0x30, der(2, b"\0") + der(0x30, der(6, oid) + der(5, b"")) + der(4, inner))
+    shapes = [
+        rsa + b"" if is_key else der(0x30, b"".join(der(2, b"\x07") for _ in range(9))),
+        der(0x30, scheme + der(4, b"c" * 32)),  # with a digest for a scheme: signature material
+        ec,
+        wrapped(RSA_OID, rsa if is_key else b"plain words that are no key at all, but long enough"),
+        wrapped(EC_OID, ec if is_key else der(0x30, der(2, b"\2") + der(4, b"s" * 32))),
+        wrapped(b"\x2b\x65\x70", der(4, b"k" * (32 if is_key else 31))),
+    ]
+    for n, shape in enumerate(shapes):
+        text = base64.b64encode(shape).decode()
+        assert [s[0] for s in parsed_kinds(text)] == (["der"] if is_key else []), n
+
+
+def test_random_sequences_are_no_keys():
+    rng = random.Random(12)
+    for _ in range(3000):
+        fields = [der(rng.choice([2, 3, 4, 5, 6, 0x30, 0xA0]), rng.randbytes(rng.choice([0, 1, 20, 32, 64]))) for _ in range(rng.randint(1, 9))]
+        assert parsed_kinds(base64.b64encode(der(0x30, b"".join(fields))).decode()) == []
+
+
+@pytest.mark.parametrize("width", [24, 40, 48, 60, 64, 76, 80, 100])
+def test_keys_wrapped_at_any_width(width):
+    key = der(0x30, b"".join(der(2, bytes([i + 1]) * 40) for i in range(9)))
+    letters = base64.b64encode(key).decode()
+    lines = "\n".join(letters[i : i + width] for i in range(0, len(letters), width))
+    assert parsed_kinds(f"key:\n{lines}\nend") == [("der", 5, 5 + len(lines))]
+
+
+@pytest.mark.parametrize("parted", [lambda h: h, lambda h: ":".join(h[i : i + 2] for i in range(0, len(h), 2)), lambda h: "\n  ".join(h[i : i + 32] for i in range(0, len(h), 32)), lambda h: ":\n".join(":".join(h[j : j + 2] for j in range(i, min(i + 30, len(h)), 2)) for i in range(0, len(h), 30))])
+def test_hex_keys_wrapped_or_with_colons(parted):
+    key = der(0x30, b"".join(der(2, bytes([i + 1]) * 40) for i in range(9)))
+    text = parted(key.hex())
+    assert parsed_kinds(f"k {text} z") == [("der", 2, 2 + len(text))]
+    assert parsed_kinds(parted((b"\x31" + key[1:]).hex())) == []
+
+
+def test_tokens_need_a_signature_unless_they_say_none():
+    part = lambda s: base64.urlsafe_b64encode(s.encode()).decode().rstrip("=")
+    body = part('{"sub": 1}')
+    assert [s[0] for s in parsed_kinds(f"{part(json.dumps({'alg': 'RS256'}))}.{body}.c2ln")] == ["jwt"]
+    assert parsed_kinds(f"{part(json.dumps({'alg': 'RS256'}))}.{body}.") == []
+    assert [s[0] for s in parsed_kinds(f"{part(json.dumps({'alg': 'none'}))}.{body}.")] == ["jwt_unsigned"]
+    for opening in ("{\n", "{\r\n ", "{\t"):
+        assert [s[0] for s in parsed_kinds(f"x {part(opening + json.dumps({'alg': 'HS256'})[1:])}.{body}.c2ln")] == ["jwt"]
+
+
+def test_long_runs_are_scanned_in_linear_time():
+    for run in ("a" * 400_000, "ab:" * 200_000, "A" * 400_000 + "!", "30:\n" * 100_000, ("Q" * 30 + "\n") * 20_000, "ey." * 100_000):
+        started = time.time()
+        secrets.spans_of(run)
+        assert time.time() - started < 10, run[:5]
+
+
 def test_legacy_dsa_keys_are_found():
     dsa = lambda version: der(0x30, b"".join(der(2, x) for x in (version, b"p" * 128, b"q" * 20, b"g" * 128, b"y" * 128, b"x" * 20)))
     text = base64.b64encode(dsa(b"\x00")).decode()
