@@ -9,11 +9,13 @@ to leave; below order 0 all 256 bytes are alike. Statistics are frozen: scoring
 change them. The language with the shortest code for the whole text wins, ties
 go to the first by code point.
 
-Counting covers every training text. A node of the tree is kept if its n-gram
-makes up at least SHARE of the language's bytes of that order, so a language
-has at most 1 / SHARE nodes an order, however long the corpus; that bounds what
-the driver reads and sends out. Letters A-Z count as a-z, white space as one
-space.
+Counting covers every training text, and totals, different bytes and escapes are
+taken from all counts, in Spark. What a language holds fewer than FLOOR times counts as
+not seen, n-grams as well as contexts, so the trees grow with the corpus. The
+trees are sent to every task; beyond MAX_NODES n-grams over all languages (some
+hundred MB) the floor doubles until they fit, and code lengths stay those of the counted
+corpus for all that is kept. Languages are scored in groups of GROUP, so there may be any number. Letters A-Z
+count as a-z, white space as one space.
 
 Null texts and texts without a letter get `und` and score 0. Without training
 rows every text gets `und`. Repeated rows get equal results.
@@ -32,10 +34,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.text import IS_SPACE, LOWER, blocks, mix64
+from ledgerlens.sources.scratch import stored
 
 ORDER = 4  # longest context, in bytes
-SHARE = 2.0**-18
-MAX_LANGUAGES = 256
+FLOOR = 2  # times an n-gram or context must be seen
+MAX_NODES = 1 << 22
+GROUP = 16  # languages in one table
 UNKNOWN = "und"
 
 FOLD = LOWER.copy()
@@ -143,83 +147,105 @@ class Lookup:
 
 
 @dataclass(frozen=True)
-class Model:
-    """Frozen trees of all languages: code lengths by n-gram and escapes by context, a column per language."""
+class Trees:
+    """Frozen trees of some languages: code lengths by n-gram and escapes by context, a column per language."""
 
-    languages: list[str]
     codes: list[Lookup]
     escapes: list[Lookup]
-    floor: np.ndarray
+    width: int
+
+    def code_lengths(self, grams: np.ndarray) -> np.ndarray:
+        """Bits of every n-gram's last byte (rows) in every language (columns)."""
+        return backed_off(grams, self.codes, self.escapes, self.width, len(self.codes) - 1)
+
+
+@dataclass(frozen=True)
+class Model:
+    """The trees of all languages, in groups."""
+
+    languages: list[str]
+    groups: list[Trees]
+    order: int
 
     def code_lengths(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Bits per document (rows) and language (columns)."""
-        grams = ngrams(data, offsets, len(self.codes) - 1)
-        total = np.zeros((len(data), len(self.languages)))
-        at = np.arange(len(data))
-        for order in range(len(self.codes) - 1, -1, -1):
-            row = self.codes[order].find(suffix(grams[at], order))
-            hit = row >= 0
-            total[at[hit]] += self.codes[order].values[row[hit]]
-            at = at[~hit]
-            if not len(at):
-                break
-            context = self.escapes[order].find(suffix(grams[at], order) >> np.uint64(8))
-            known = context >= 0
-            total[at[known]] += self.escapes[order].values[context[known]]
-        total[at] += self.floor
-        ends = np.vstack((np.zeros(len(self.languages)), np.cumsum(total, axis=0)))
-        return ends[offsets[1:]] - ends[offsets[:-1]]
+        grams = ngrams(data, offsets, self.order)
+        found = []
+        for trees in self.groups:
+            ends = np.vstack((np.zeros(trees.width), np.cumsum(trees.code_lengths(grams), axis=0)))
+            found.append(ends[offsets[1:]] - ends[offsets[:-1]])
+        return np.hstack(found)
 
 
-def build_model(counts: pd.DataFrame, order: int = ORDER) -> Model | None:
-    """Code lengths of every kept node, from (lang, order, gram, n)."""
-    languages = sorted(counts["lang"].unique())
-    if not languages:
-        return None
-    width = len(languages)
-    floor = np.full(width, 8.0)
-    codes, escapes = [], []
-    for k in range(order + 1):
-        table = counts[counts["order"] == k]
-        keys, where = np.unique(table["gram"].to_numpy().astype(np.uint64), return_inverse=True)
-        n = np.zeros((len(keys), width))
-        n[where, np.searchsorted(languages, table["lang"])] = table["n"]
-        contexts, context_of = np.unique(keys >> np.uint64(8), return_inverse=True)
-        total, kinds = np.zeros((len(contexts), width)), np.zeros((len(contexts), width))
-        np.add.at(total, context_of, n)
-        np.add.at(kinds, context_of, n > 0)
-        escape = -np.log2(np.where(kinds > 0, kinds / np.maximum(total + kinds, 1), 1.0))
-        seen = -np.log2(np.maximum(n, 1) / np.maximum(total + kinds, 1)[context_of])
-        below = _with_backoff(suffix(keys, max(k - 1, 0)), floor, codes, escapes, k - 1)
-        codes.append(Lookup.of(keys, np.where(n > 0, seen, escape[context_of] + below)))
-        escapes.append(Lookup.of(contexts, escape))
-    return Model(languages, codes, escapes, floor)
-
-
-def _with_backoff(keys: np.ndarray, floor: np.ndarray, codes: list[Lookup], escapes: list[Lookup], order: int) -> np.ndarray:
-    """Code lengths of n-grams from `order` downwards."""
-    total, at = np.zeros((len(keys), len(floor))), np.arange(len(keys))
+def backed_off(grams: np.ndarray, codes: list[Lookup], escapes: list[Lookup], width: int, order: int) -> np.ndarray:
+    """Code lengths from the tree of `order` downwards; escapes add up on the way."""
+    total, at = np.zeros((len(grams), width)), np.arange(len(grams))
     for k in range(order, -1, -1):
-        row = codes[k].find(suffix(keys[at], k))
-        total[at[row >= 0]] += codes[k].values[row[row >= 0]]
-        at = at[row < 0]
-        context = escapes[k].find(suffix(keys[at], k) >> np.uint64(8))
-        total[at[context >= 0]] += escapes[k].values[context[context >= 0]]
-    total[at] += floor
+        keys = suffix(grams[at], k)
+        row = codes[k].find(keys)
+        hit = row >= 0
+        total[at[hit]] += codes[k].values[row[hit]]
+        at, keys = at[~hit], keys[~hit]
+        if not len(at):
+            break
+        context = escapes[k].find(keys >> np.uint64(8))
+        known = context >= 0
+        total[at[known]] += escapes[k].values[context[known]]
+    total[at] += 8.0
     return total
 
 
-def train(df: DataFrame, lang_column: str = "lang", text_column: str = "text", order: int = ORDER, share: float = SHARE) -> Model | None:
+def build_trees(nodes: pd.DataFrame, escapes: pd.DataFrame, languages: range, order: int) -> Trees:
+    """Trees of the languages with these numbers, from (lang, order, gram, bits) and (lang, order, context, bits)."""
+    width, codes, escape_tables = len(languages), [], []
+
+    def matrix_of(table: pd.DataFrame, k: int, key: str) -> tuple[np.ndarray, np.ndarray]:
+        own = table[(table["order"] == k) & table["lang"].between(languages.start, languages.stop - 1)]
+        keys, where = np.unique(own[key].to_numpy().astype(np.uint64), return_inverse=True)
+        values = np.full((len(keys), width), np.nan)
+        values[where, own["lang"].to_numpy() - languages.start] = own["bits"]
+        return keys, values
+
+    for k in range(order + 1):
+        contexts, escape = matrix_of(escapes, k, "context")
+        escape = np.nan_to_num(escape)  # a context never seen costs nothing to leave
+        keys, bits = matrix_of(nodes, k, "gram")
+        below = backed_off(suffix(keys, max(k - 1, 0)), codes, escape_tables, width, k - 1)
+        leaving = escape[np.searchsorted(contexts, keys >> np.uint64(8))] if len(contexts) else np.zeros_like(bits)
+        codes.append(Lookup.of(keys, np.where(np.isnan(bits), leaving + below, bits).astype(np.float32)))
+        escape_tables.append(Lookup.of(contexts, escape.astype(np.float32)))
+    return Trees(codes, escape_tables, width)
+
+
+def frozen_nodes(counts: DataFrame, floor: int) -> tuple[DataFrame, DataFrame]:
+    """Code lengths (lang, order, gram, bits) and escapes (lang, order, context, bits) of what was seen `floor` times, off all counts."""
+    placed = counts.withColumn("context", F.shiftrightunsigned("gram", 8))
+    contexts = placed.groupBy("lang", "order", "context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
+    contexts = contexts.filter(F.col("total") >= floor)
+    all_ = F.col("total") + F.col("kinds")
+    nodes = placed.filter(F.col("n") >= floor).join(contexts, ["lang", "order", "context"])
+    return (
+        nodes.select("lang", "order", "gram", F.log2(all_ / F.col("n")).alias("bits")),
+        contexts.select("lang", "order", "context", F.log2(all_ / F.col("kinds")).alias("bits")),
+    )
+
+
+def train(
+    df: DataFrame, lang_column: str = "lang", text_column: str = "text", order: int = ORDER, floor: int = FLOOR, max_nodes: int = MAX_NODES
+) -> Model | None:
     """Count every text of `df` that has a language and freeze the trees."""
-    counts = count_ngrams(df, lang_column, text_column, order)
-    sizes = counts.filter("order = 0").groupBy("lang").agg(F.sum("n").alias("bytes")).limit(MAX_LANGUAGES + 1).collect()
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    if not sizes:
+    counts = stored(count_ngrams(df, lang_column, text_column, order))
+    languages = sorted(r["lang"] for r in counts.filter("order = 0").select("lang").distinct().collect())
+    if not languages:
         return None
-    least = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], share * r["bytes"])])
-    kept = counts.filter(F.col("n") >= least[F.col("lang")])
-    return build_model(kept.toPandas(), order)
+    while counts.filter(F.col("n") >= floor).count() > max_nodes:
+        floor *= 2
+    numbers = df.sparkSession.createDataFrame(list(zip(languages, range(len(languages)))), "lang string, _lang int")
+    numbered = counts.join(F.broadcast(numbers), "lang").select(F.col("_lang").alias("lang"), "order", "gram", "n")
+    nodes, escapes = (found.toPandas() for found in frozen_nodes(numbered, floor))
+    firsts = range(0, len(languages), GROUP)
+    groups = [build_trees(nodes, escapes, range(a, min(a + GROUP, len(languages))), order) for a in firsts]
+    return Model(languages, groups, order)
 
 
 def predict(df: DataFrame, model: Model | None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -445,12 +445,15 @@ def test_languages_of_held_out_documents(spark, documents):
     assert found["score"].between(0, 1).all()
 
 
-def test_code_lengths_follow_the_counts(spark):
+@pytest.mark.parametrize("floor, group", [(1, 16), (language_id.FLOOR, 16), (language_id.FLOOR, 1), (3, 2)])
+def test_code_lengths_follow_the_counts(spark, monkeypatch, floor, group):
     """Every byte coded by hand from the counts: longest known context, escapes on the way down."""
-    texts = [("x", "abracadabra abra"), ("x", "cab"), ("y", "zebra zeal abba")]
+    monkeypatch.setattr(language_id, "GROUP", group)
+    texts = [("x", "abracadabra abra"), ("x", "cab"), ("y", "zebra zeal abba"), ("z", "bananas an banal ban")]
     df = spark.createDataFrame(texts, "lang string, text string")
     order = 2
-    model = language_id.train(df, order=order, share=0.0)
+    model = language_id.train(df, order=order, floor=floor)
+    assert len(model.groups) == -(-3 // group)
     trees = {}
     for lang, text in texts:
         padded = "\0" * order + text
@@ -464,10 +467,10 @@ def test_code_lengths_follow_the_counts(spark):
         for i in range(order, len(padded)):
             for k in range(order, -1, -1):
                 seen = trees[lang].get(padded[i - k : i])
-                if seen is None:
+                if seen is None or sum(seen.values()) < floor:
                     continue
                 whole = sum(seen.values()) + len(seen)
-                if padded[i] in seen:
+                if seen.get(padded[i], 0) >= floor:
                     total -= np.log2(seen[padded[i]] / whole)
                     break
                 total -= np.log2(len(seen) / whole)
@@ -479,7 +482,21 @@ def test_code_lengths_follow_the_counts(spark):
 
     for text in ("abra", "zebra cab", "qq", "banana zz"):
         (block,) = blocks(pa.array([text]))
-        assert np.allclose(model.code_lengths(block.data, block.offsets)[0], [bits("x", text), bits("y", text)])
+        assert np.allclose(model.code_lengths(block.data, block.offsets)[0], [bits(lang, text) for lang in "xyz"])
+
+
+def test_the_floor_rises_only_where_nodes_do_not_fit(spark):
+    df = spark.createDataFrame([("x", "abracadabra " * 9), ("y", "zebra zeal abba")], "lang string, text string")
+    held = lambda model: sum(len(codes.values) for trees in model.groups for codes in trees.codes)
+    whole, cut = language_id.train(df, floor=1), language_id.train(df, floor=1, max_nodes=80)
+    assert held(whole) > 80 >= held(cut) > 0
+
+
+def test_more_languages_than_one_table_holds(spark):
+    words = {f"l{i:03d}": "".join(random.Random(i).choices("abcdefghijklmnop", k=40)) for i in range(300)}
+    df = spark.createDataFrame([(i, lang, f"{word} {word}") for i, (lang, word) in enumerate(words.items())], "doc_id long, lang string, text string")
+    found = {r["doc_id"]: r["lang_pred"] for r in language_id.predict(df, language_id.train(df)).collect()}
+    assert [found[i] for i in range(300)] == list(words)
 
 
 def test_languages_of_awkward_rows(spark, awkward, empty):
