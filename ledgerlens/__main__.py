@@ -16,9 +16,9 @@ def main() -> None:
     parser.add_argument("--limits", required=True, help="vendor approval limits, CSV file or folder")
     parser.add_argument("--out", required=True, help="folder for the register and the summaries")
     parser.add_argument("--format", default="csv", choices=["csv", "parquet"], help="format of the results")
-    parser.add_argument("--multiline", action="store_true", help="fields may hold quoted line breaks (one task a file)")
+    parser.add_argument("--multiline", action="store_true", help="fields may hold quoted line breaks")
     parser.add_argument("--dates-with-time", action="store_true", help="dates may carry a clock time, which is left out")
-    parser.add_argument("--shuffle-partitions", default="4000", help="width of shuffles before adaptive execution merges them")
+    parser.add_argument("--shuffle-partitions", default=SETTINGS["spark.sql.shuffle.partitions"], help="width of shuffles before adaptive execution merges them")
     args = parser.parse_args()
 
     builder = SparkSession.builder.appName("ledgerlens")

@@ -157,12 +157,17 @@ def sql_over_limit(tx: DataFrame, limits: DataFrame) -> DataFrame:
     )
 
 
-def in_report_order(flagged: DataFrame, exception_type: str) -> DataFrame:
-    """Sort one SQL list the way its report shows it; ids break ties."""
+def report_order(exception_type: str) -> list:
+    """How the report of one SQL list sorts it; ids break ties."""
     order = {
         DUPLICATE: ["vendor_id", "transaction_date"],
         MISSING_INVOICE: ["transaction_date"],
         OUT_OF_HOURS: ["transaction_date"],
         OVER_LIMIT: [F.desc("excess_amount")],
     }[exception_type]
-    return flagged.orderBy(*order, "transaction_id")
+    return [*order, "transaction_id"]
+
+
+def in_report_order(flagged: DataFrame, exception_type: str) -> DataFrame:
+    """Sort one SQL list the way its report shows it."""
+    return flagged.orderBy(*report_order(exception_type))

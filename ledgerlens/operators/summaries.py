@@ -28,12 +28,13 @@ def summarise_by_type(register: DataFrame) -> DataFrame:
     )
 
 
+def vendor_order() -> list[Column]:
+    """Order of the summary by vendor."""
+    return [F.desc("count"), F.asc_nulls_last("vendor_id"), F.asc_nulls_last("vendor_name")]
+
+
 def summarise_by_vendor(register: DataFrame) -> DataFrame:
-    return (
-        register.groupBy("vendor_id", "vendor_name")
-        .agg(F.count("*").alias("count"))
-        .orderBy(F.desc("count"), F.col("vendor_id").asc_nulls_last(), F.col("vendor_name").asc_nulls_last())
-    )
+    return register.groupBy("vendor_id", "vendor_name").agg(F.count("*").alias("count")).orderBy(*vendor_order())
 
 
 def data_quality(cleaned: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ result on the same tables in another engine.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ from ledgerlens.schema import (
     TRANSACTION_SCHEMA,
     VENDOR_SCHEMA,
 )
-from ledgerlens.sources import csv, staging
+from ledgerlens.sources import csv, ordered, staging
 from ledgerlens.sources.scratch import scratch_path, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -839,6 +840,66 @@ def register_roundtrip(spark, sf_dir):
     return csv.read_text_table(spark, path, REGISTER_COLUMNS)
 
 
+def listed_sql(rows: str, name: str, order: str) -> str:
+    return f"""SELECT '{name}' AS list, row_number() OVER (ORDER BY {order}, transaction_id) AS position, transaction_id
+    FROM (SELECT * FROM tx t {rows})"""
+
+
+@query(
+    f"WITH {t.TX_SQL} "
+    + " UNION ALL ".join(
+        [
+            listed_sql(f"WHERE {EXISTS_SQL}", "Duplicate Payment", "vendor_id NULLS FIRST, transaction_date"),
+            listed_sql("WHERE invoice_number IS NULL OR ltrim(rtrim(invoice_number)) = ''", "Missing Invoice Number", "transaction_date NULLS FIRST"),
+            listed_sql(
+                "WHERE dayofweek(transaction_date) IN (0, 6) OR transaction_time < '09:00:00' OR transaction_time >= '18:00:00'",
+                "Out-of-Hours Transaction",
+                "transaction_date NULLS FIRST",
+            ),
+            listed_sql(
+                "JOIN (SELECT vendor_id AS v, approval_limit FROM limits) ON vendor_id = v WHERE amount > approval_limit",
+                "Exceeds Approval Limit",
+                "amount - approval_limit DESC",
+            ),
+        ]
+    )
+)
+def ordered_lists(spark, sf_dir):
+    """The four SQL lists in report order, written and read back with the position their files give them."""
+    tx, limits = t.transactions(spark, sf_dir), t.limits(spark, sf_dir)
+    lists = {
+        "Duplicate Payment": checks.sql_duplicate_payments(tx),
+        "Missing Invoice Number": checks.sql_missing_invoices(tx),
+        "Out-of-Hours Transaction": checks.sql_out_of_hours(tx),
+        "Exceeds Approval Limit": checks.sql_over_limit(tx, limits),
+    }
+    read = []
+    for name, flagged in lists.items():
+        path = ordered.write_ordered(flagged, checks.report_order(name), scratch_path(spark, "list"))
+        read.append(ordered.read_ordered(spark, path).select(F.lit(name).alias("list"), "position", "transaction_id"))
+    return reduce(DataFrame.unionAll, read)
+
+
+@query(
+    f"""WITH {t.ENTRIES_SQL}, by_vendor AS (SELECT vendor_id, vendor_name, count(*) AS "count" FROM entries GROUP BY ALL),
+    by_type AS (SELECT exception_type, severity, count(*) AS "count" FROM entries GROUP BY ALL)
+    SELECT 'vendor' AS summary, row_number() OVER (ORDER BY "count" DESC, vendor_id NULLS LAST, vendor_name NULLS LAST) AS position,
+    vendor_name AS item, "count" FROM by_vendor
+    UNION ALL SELECT 'type', row_number() OVER (ORDER BY "count" DESC, exception_type), exception_type, "count" FROM by_type"""
+)
+def ordered_summaries(spark, sf_dir):
+    """Both summaries in their order, written and read back with the position their files give them."""
+    found = stored(entries(spark, sf_dir))
+    by_vendor, by_type = summaries.summarise_by_vendor(found), summaries.summarise_by_type(found)
+    paths = [
+        ordered.write_ordered(by_vendor, summaries.vendor_order(), scratch_path(spark, "by_vendor")),
+        ordered.write_ordered(by_type, [F.desc("count"), "exception_type"], scratch_path(spark, "by_type")),
+    ]
+    vendors, types = (ordered.read_ordered(spark, path) for path in paths)
+    vendors = vendors.select(F.lit("vendor").alias("summary"), "position", F.col("vendor_name").alias("item"), "count")
+    return vendors.unionAll(types.select(F.lit("type").alias("summary"), "position", F.col("exception_type").alias("item"), "count"))
+
+
 @query(
     f"""WITH {t.ENTRIES_SQL}
     SELECT 'summary_by_type' AS summary, exception_type || '/' || severity AS item, CAST(count(*) AS VARCHAR) AS value

@@ -160,3 +160,18 @@ def test_calendar(spark):
     rows = [tuple(r) for r in measures.calendar(dates).orderBy("date").collect()]
     assert [r[0].isoformat() for r in rows] == ["2024-02-28", "2024-02-29", "2024-03-01"]
     assert rows[1][1:] == (2024, "2024-02", "February", "Q1", "Thursday")
+
+
+def test_a_vendor_with_two_limits(spark):
+    """The merge repeats its payments, in the register and its duplicates too; the SQL counts repeat them for the limit alone."""
+    limits = h.vendors(spark, [("V1", "Vendor 1", "GBP", Decimal(10)), ("V1", "Vendor 1", "GBP", Decimal(20)), (None, "x", "GBP", Decimal(1))])
+    rows = [h.payment(1, amount=Decimal("15.00"), invoice_number=None), h.payment(2, amount=Decimal("25.00"), invoice_number="A")]
+    tx = h.prepared(spark, rows)
+    entries = register.audited_entries(tx, limits)
+    merged = register.exception_entries(checks.merge_with_vendor_limits(tx, limits))
+    count = lambda df: sorted(map(str, df.select("transaction_id", "detected_by").collect()))
+    assert count(entries) == count(merged) and entries.filter("detected_by = 'duplicate_payments'").count() == 4
+    counts = {r.exception_type: r.exception_count for r in summaries.sql_exception_counts(tx, limits).collect()}
+    assert counts["Missing Invoice Number"] == 1 and counts["Exceeds Approval Limit"] == 3 and counts["Duplicate Payment"] == 0
+    once = limits.limit(1)
+    assert register.audited_entries(tx, once).filter("detected_by = 'duplicate_payments'").count() == 0

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerlens.operators import checks, cleaning, joins, measures, register, summaries, validation
 from ledgerlens.plans.audit import audit, run_audit
 from ledgerlens.sources import scratch
-from ledgerlens.schema import BASE_COLUMNS, REGISTER_COLUMNS, TRANSACTION_SCHEMA
+from ledgerlens.schema import BASE_COLUMNS, CHECKS, REGISTER_COLUMNS, TRANSACTION_SCHEMA
 from ledgerlens.sources import csv
 
 DATA = Path(__file__).parent / "data"
@@ -244,3 +244,19 @@ def test_audit_leaves_only_its_outputs(spark, paths, tmp_path):
     result.discard()
     assert set(shared.iterdir()) == before
     assert spark.read.option("header", True).csv(f"{tmp_path}/out/summary_by_type.csv").count() == 4
+
+
+def test_rows_are_counted_as_they_are_written(spark, audited):
+    """The counts of a run are a small local table: nothing is read again for them."""
+    plan = audited.row_counts._jdf.queryExecution().executedPlan().toString()
+    assert "parquet" not in plan and "Exchange" not in plan
+    counts = {r["name"]: r["row_count"] for r in audited.row_counts.collect()}
+    assert counts["transactions"] == 30 and counts["vendors"] == 10 and len(counts) == 6
+    lazy = summaries.row_counts(audited.transactions, audited.transactions.limit(10), audited.register, CHECKS)
+    assert {r["name"]: r["row_count"] for r in lazy.collect()} == counts
+
+
+def test_the_register_file_is_in_order(spark, audited, paths):
+    folder = Path(paths[2]) / "exceptions_master.csv"
+    ids = [int(line.split(",")[0]) for p in sorted(folder.glob("part-*")) for line in p.read_text().splitlines()[1:]]
+    assert ids == list(range(1, 35))
