@@ -9,10 +9,11 @@ are added up per block of places first, so only the one block that holds the cut
 is ordered row by row.
 
 The drawn blocks are dealt to the output shards by a splitting tree: a node
-holds a number of blocks of each source and half of its shards go to each child;
-the blocks that go left are drawn without replacement, so the numbers by source
-are multivariate hypergeometric. A shard then takes the next blocks of each
-source's permuted list (no block twice) and orders its rows by a hash of its own.
+holds a quota of blocks of each source and half of its shards go to each child.
+Level by level, the blocks that go left are drawn from each node's quotas without
+replacement, so the left quotas are multivariate hypergeometric and the two children's add up
+to the node's. A shard then takes the next blocks of each source's permuted list, as many as its
+quota (no block twice), and orders its rows by a hash of its own.
 
 Sizes count words; null texts have size 0. A null source is a source of its own,
 last in order. Rows that share an id share its place, so they are drawn alike.
@@ -34,6 +35,7 @@ PLACE_BITS = 60  # of a row's place in its source
 CUT_BITS = 16  # blocks that running sizes are added up by
 BLOCK_BITS = 6  # blocks that are dealt to shards
 SHARDS = 16  # a power of two
+PART_ROWS = 500_000  # of a shard, ordered by one task
 
 
 def word_count(text) -> F.Column:
@@ -110,26 +112,30 @@ def _copies() -> F.Column:
     return F.col("_whole") + once_more.cast("int")
 
 
-def _leaf(rank: F.Column, held: int, shards: int) -> F.Column:
-    """The leaf of the splitting tree that the slot of `rank` (from 1, of `held` in random order) falls to.
+def split_quotas(quotas: DataFrame, seed: str) -> DataFrame:
+    """One level of the tree: (_node, _key, _quota) of the children 2 * node and 2 * node + 1.
 
-    The first half of a node's slots goes to its left child. Any part of a random
-    order is in random order too, so every node draws its half without
-    replacement, and no node is ever gathered in one place.
+    Every block of a node gets a random place in the node, and the first half goes
+    left. Nodes are numbered through together, so no node is ever gathered in one task.
     """
-
-    def split(node, _):
-        half = F.shiftright(node["held"] + node["leaf"].bitwiseAND(F.lit(1)), 1)
-        right = node["rank"] > half
-        return F.struct(
-            (node["leaf"] * 2 + right.cast("long")).alias("leaf"),
-            F.when(right, node["rank"] - half).otherwise(node["rank"]).alias("rank"),
-            F.when(right, node["held"] - half).otherwise(half).alias("held"),
-        )
-
-    levels = F.sequence(F.lit(1), F.lit(shards.bit_length() - 1)) if shards > 1 else F.array().cast("array<int>")
-    root = F.struct(F.lit(0).cast("long").alias("leaf"), rank.alias("rank"), F.lit(held).cast("long").alias("held"))
-    return F.aggregate(levels, root, split)["leaf"].cast("int")
+    random = F.xxhash64(F.lit(seed), F.lit("tree"), "_node", "_key", "_unit")
+    units = quotas.select("_node", "_key", F.explode(F.sequence(F.lit(1).cast("long"), "_quota")).alias("_unit"))
+    placed = with_dense_id(units, [F.col("_node"), random, F.col("_key"), F.col("_unit")], "_rank")
+    before = Window.orderBy("_node").rowsBetween(Window.unboundedPreceding, -1)  # a node a shard at most
+    nodes = quotas.groupBy("_node").agg(F.sum("_quota").alias("_held"))
+    nodes = nodes.select("_node", "_held", F.coalesce(F.sum("_held").over(before), F.lit(0)).alias("_before"))
+    half = F.shiftright(F.col("_held") + F.col("_node").bitwiseAND(F.lit(1)), 1)
+    goes_right = (F.col("_rank") - F.col("_before") > half).cast("long")
+    dealt = placed.join(F.broadcast(nodes), "_node").select((F.col("_node") * 2 + goes_right).alias("_node"), "_key")
+    return dealt.groupBy("_node", "_key").agg(F.count("*").alias("_quota"))
+
+
+def shard_quotas(drawn: DataFrame, shards: int, seed: str) -> DataFrame:
+    """(_node, _key, _quota): blocks of each source per shard, the leaves of the tree over `drawn` (a row per block, with _key)."""
+    quotas = stored(drawn.groupBy(F.lit(0).cast("long").alias("_node"), "_key").agg(F.count("*").alias("_quota")))
+    for _ in range(shards.bit_length() - 1):
+        quotas = stored(split_quotas(quotas, seed))
+    return quotas
 
 
 def _dealt_blocks(rows: DataFrame, cuts: DataFrame, shards: int, seed: str) -> DataFrame:
@@ -149,13 +155,11 @@ def _dealt_blocks(rows: DataFrame, cuts: DataFrame, shards: int, seed: str) -> D
 
     permuted = Window.partitionBy("_key").orderBy(shuffled("_key", "_block", "_copy"), "_block", "_copy")
     drawn = stored(drawn.withColumn("_nth", F.row_number().over(permuted)))
-    # the tree: which slots of a node go left is drawn without replacement, by a place in one random order
-    slots = drawn.select("_key", F.col("_nth").alias("_slot"))
-    slots = with_dense_id(slots, [shuffled(F.lit("tree"), "_key", "_slot"), "_key", "_slot"], "_rank")
-    slots = slots.select("_key", "_slot", _leaf(F.col("_rank"), drawn.count(), shards).alias("_node"))
-    # a shard's number of blocks of a source decides which of the permuted blocks it takes
-    taken = Window.partitionBy("_key").orderBy("_node", "_slot")
-    quotas = slots.select("_key", F.col("_node").alias("_shard"), F.row_number().over(taken).alias("_nth"))
+    quotas = shard_quotas(drawn, shards, seed)
+    before = Window.partitionBy("_key").orderBy("_node").rowsBetween(Window.unboundedPreceding, -1)
+    quotas = quotas.withColumn("_before", F.coalesce(F.sum("_quota").over(before), F.lit(0)))
+    nth = F.explode(F.sequence((F.col("_before") + 1).cast("int"), (F.col("_before") + F.col("_quota")).cast("int"))).alias("_nth")
+    quotas = quotas.select("_key", F.col("_node").cast("int").alias("_shard"), nth)
     by_copy = F.transform(F.array_sort(F.collect_list(F.struct("_copy", "_shard"))), lambda x: x["_shard"])
     return drawn.join(quotas, ["_key", "_nth"]).groupBy("_key", "_block").agg(by_copy.alias("_shards"))
 
@@ -227,5 +231,6 @@ def mix_sources(
     whole = _keyed(df, id_column, source_column, seed, F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"))
     drawn = _drawn(whole, *_plan(rows, shards, seed)).select("_row", "_place", F.posexplode("_shards").alias("_copy", "_shard"))
     mixed = drawn.withColumn("_order", F.xxhash64(F.lit(seed), "_shard", "_place", "_copy"))
-    mixed = mixed.repartition("_shard", F.pmod("_order", F.lit(64))).sortWithinPartitions("_shard", "_order")
+    parts = max(64, -(-rows.count() // (shards * PART_ROWS)))
+    mixed = mixed.repartition("_shard", F.pmod("_order", F.lit(parts))).sortWithinPartitions("_shard", "_order")
     return mixed.select("_row.*")

@@ -533,13 +533,38 @@ def test_blocks_are_dealt_once_and_evenly(spark):
     assert counts.max() < 2 * counts.min()
 
 
-def test_leaves_of_the_splitting_tree_halve_every_node(spark):
-    for held, shards in ((0, 4), (1, 4), (103, 8), (64, 16), (5, 1)):
-        ranked = spark.range(1, held + 1).select(mixing._leaf(F.col("id"), held, shards).alias("leaf"))
-        leaves = [r["leaf"] for r in ranked.collect()]
-        assert leaves == sorted(leaves)  # parts of one order
-        counts = [leaves.count(i) for i in range(shards)]
-        assert sum(counts) == held and max(counts) - min(counts) <= 1
+@pytest.mark.parametrize("shards", [1, 2, 16])
+def test_quotas_of_every_node_add_up_to_its_own(spark, shards):
+    blocks_of = {"a": 70, "b": 1, "c": 32}
+    drawn = spark.createDataFrame([(k,) for k, n in blocks_of.items() for _ in range(n)], "_key string")
+    level = {(0, k): n for k, n in blocks_of.items()}
+    quotas = spark.createDataFrame([(0, k, n) for k, n in blocks_of.items()], "_node long, _key string, _quota long")
+    for _ in range(shards.bit_length() - 1):
+        quotas = mixing.split_quotas(quotas, "mix")
+        below = {(r["_node"], r["_key"]): r["_quota"] for r in quotas.collect()}
+        for node, key in level:
+            assert below.get((2 * node, key), 0) + below.get((2 * node + 1, key), 0) == level[node, key]
+        level = below
+    held = [sum(n for (node, _), n in level.items() if node == leaf) for leaf in range(shards)]
+    assert sum(held) == 103 and max(held) - min(held) <= 1
+    assert {(r["_node"], r["_key"]): r["_quota"] for r in mixing.shard_quotas(drawn, shards, "mix").collect()} == level
+
+
+def test_left_quotas_are_hypergeometric(spark):
+    quotas = spark.range(400).selectExpr("id AS _node", "explode(array('a', 'b')) AS _key", "10L AS _quota")
+    left = [r["_quota"] for r in mixing.split_quotas(quotas, "mix").filter("_node % 2 = 0 AND _key = 'a'").collect()]
+    left += [0] * (400 - len(left))
+    assert abs(np.mean(left) - 5) < 0.2 and 1.0 < np.var(left) < 1.7  # 10 of 20, half of them marked: 5 and 1.32
+
+
+def test_every_drawn_block_goes_to_one_shard(spark):
+    df = spark.range(6000).selectExpr("id AS doc_id", "concat('s', id % 4) AS source", "'a b c' AS text")
+    rows = mixing._keyed(df, "doc_id", "source", "mix", F.lit(3).cast("long").alias("_words"))
+    cuts, blocks_ = mixing._plan(rows, 8, "mix")
+    dealt = [(r["_key"], r["_block"], list(r["_shards"])) for r in blocks_.collect()]
+    assert len({(k, b) for k, b, _ in dealt}) == len(dealt) and all(0 <= s < 8 for _, _, shards in dealt for s in shards)
+    again = [(r["_key"], r["_block"], list(r["_shards"])) for r in mixing._plan(rows.repartition(3), 8, "mix")[1].collect()]
+    assert sorted(again) == sorted(dealt)
 
 
 def test_mix_keeps_all_columns_and_counts(spark, awkward, empty):
