@@ -6,7 +6,9 @@ inserted, left out or replaced. A line goes if a like line stands earlier
 Lines of fewer than `min_words` words stay unless `short_lines` is set. Then
 equal ones are repeats like any other, and those of MIN_CHARS characters or more
 (blanks not counted), as lines of scripts without blanks are, are compared by
-their characters: alike if at most one was inserted, left out or replaced.
+their characters: alike if at most one was inserted, left out or replaced. A line
+of `min_words` words and one of a word less are thus compared in different ways,
+so never with each other.
 
 Equal lines are counted first, so that one that holds a third of all rows is
 one line from there on. Each distinct line then emits the hash of every variant
@@ -34,12 +36,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.text import BASE, BASE_INVERSE, IS_SPACE, Block, blocks, mix64, powers, slice_hashes
-from ledgerlens.operators.joins import fits_broadcast
 from ledgerlens.sources.scratch import stored
 
 MIN_WORDS = 5
 MIN_CHARS = 20  # of a line of fewer words, to be compared by its characters
 MAX_SENT_LINES = 1_000_000  # removed line numbers that are broadcast; more are joined by shuffle
+MAX_SENT_TEXTS = 200_000  # places of lines to be read that are broadcast; more are joined by shuffle
 CHARACTER = np.uint64(0xD6E8FEB86659FD93)
 FRONT, BACK = np.uint64(0x8EBC6AF09C88C6E3), np.uint64(0x589965CC75374CC3)
 
@@ -188,7 +190,8 @@ def _line_texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
         F.collect_list(F.struct(place["line"].alias("line"), "hash", "place")).alias("wanted")
     )
     lists = stored(lists)
-    lists = F.broadcast(lists) if fits_broadcast(lists, 50_000) else lists
+    size = lists.agg(F.coalesce(F.sum(F.size("wanted")), F.lit(0))).first()[0]
+    lists = F.broadcast(lists) if size <= MAX_SENT_TEXTS else lists
     held = rows.join(lists, F.col("id").eqNullSafe(F.col("_id")) & F.col("mark").eqNullSafe(F.col("_mark")))
     held = held.select(F.split("text", "\n").alias("lines"), F.explode("wanted").alias("one"))
     found = held.select("one.hash", "one.place", F.get("lines", F.col("one.line")).alias("text"))
