@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ledgerlens.llm import line_dedup, mixing, near_dedup, quality, sentencepiece
 from ledgerlens.llm.shipping import ship
 from ledgerlens.llm.workload import quality_trees
-from ledgerlens.sources.scratch import stored
+from ledgerlens.sources.scratch import run_folder, stored
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,10 +66,19 @@ STAGES = [
 ORACLE_SQL = None
 
 
+def run_in_folder(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """All stages over the documents of `sf_dir`, and the folder that holds all they stored.
+
+    Who has written the result deletes the folder with `ledgerlens.sources.scratch.discard`.
+    """
+    ship(spark)
+    with run_folder(spark) as folder:
+        docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+        for _, stage in STAGES[:-1]:
+            docs = stored(stage(spark, docs, sf_dir))
+        return STAGES[-1][1](spark, docs, sf_dir), folder
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of `sf_dir`."""
-    ship(spark)
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir))
-    return STAGES[-1][1](spark, docs, sf_dir)
+    return run_in_folder(spark, sf_dir)[0]
