@@ -13,8 +13,10 @@ of the median (as a share of the node), and at least within half the gap that a
 pair at the threshold has in a random direction, go down both sides. A node that
 such a split would not shrink below MOST of itself lies mostly inside one group
 and is left whole. Trees are fitted on the sample; their depth follows the number
-of vectors, so leaves of split nodes hold about LEAF vectors; every vector is sent
-down every tree. Vectors are compared within leaves, in blocks: a leaf beyond
+of vectors as far as the sample tells, and every vector is sent down every tree. Leaves
+that hold more than OVERSIZED vectors then go on as trees of their own, each fitted in a task on LEAF_SAMPLE
+of its vectors, round after round, until leaves hold about LEAF vectors or are left whole; that takes
+nothing through the driver, however many leaves there are. Vectors are compared within leaves, in blocks: a leaf beyond
 BLOCK rows is cut into blocks and every pair of blocks is a group of its own, so
 no task holds more than two blocks and none is left out.
 
@@ -36,16 +38,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.components import components
+from ledgerlens.llm.text import BASE, mix64
 from ledgerlens.llm.vectors import classes, lists, matrix, sample_matrix, usable
+from ledgerlens.operators.joins import lookup_join
 from ledgerlens.sources.scratch import stored
 
 COSINE = 0.9
 TREES, SPILL, MOST = 4, 0.1, 0.7  # halves above 0.7 of a node each hold as many pairs as the node
 SAMPLE, LEAF, BLOCK = 8192, 768, 1536
+OVERSIZED, LEAF_SAMPLE = 4 * LEAF, 256
 LEAST = 16  # vectors of the sample that make a core, or a node that is split
 MARGIN = 1e-9  # what rounding may do to a cosine
 SEED = 20240229
@@ -80,7 +85,9 @@ def fit_cores(points: np.ndarray, cosine: float) -> np.ndarray:
     return np.array(centres).reshape(len(centres), points.shape[1])
 
 
-def fit_forest(sample: np.ndarray, n: int, trees: int = TREES, spill: float = SPILL, cosine: float = COSINE) -> list[list[tuple]]:
+def fit_forest(
+    sample: np.ndarray, n: int, trees: int = TREES, spill: float = SPILL, cosine: float = COSINE, seed: int | list[int] = SEED
+) -> list[list[tuple]]:
     """Per tree a list of levels (direction, lower and upper bound of the spill band of each node).
 
     A node that is left whole has infinite bounds: all of it goes down the left side.
@@ -88,7 +95,7 @@ def fit_forest(sample: np.ndarray, n: int, trees: int = TREES, spill: float = SP
     shrink = -math.log(0.5 + spill)
     depth = max(0, math.ceil(math.log(max(1, n) / LEAF) / shrink))
     depth = min(depth, max(0, math.ceil(math.log(max(1, len(sample)) / LEAST) / shrink)))  # the sample says no more
-    rng = np.random.default_rng(SEED)
+    rng = np.random.default_rng(seed)
     points = unit(sample)
     forest = []
     for _ in range(trees):
@@ -200,11 +207,83 @@ def _route(rows: DataFrame, forest: list[list[tuple]]) -> DataFrame:
             row, leaf = leaves(unit(points), shared.value) if len(points) else (np.zeros(0, int), np.zeros(0, int))
             order = np.lexsort((leaf, row))
             offsets = np.searchsorted(row[order], np.arange(len(points) + 1)).astype(np.int32)
-            found = pa.ListArray.from_arrays(offsets, pa.array(leaf[order].astype(np.int32)))
+            found = pa.ListArray.from_arrays(offsets, pa.array(leaf[order].astype(np.int64)))
             yield pa.RecordBatch.from_arrays([*batch.columns, found], ["cls", "vec", "copies", "leaves"])
 
     chosen = rows.select("cls", "vec", "copies")
-    return chosen.mapInArrow(route, "cls bigint, vec array<double>, copies bigint, leaves array<int>")
+    return chosen.mapInArrow(route, "cls bigint, vec array<double>, copies bigint, leaves array<bigint>")
+
+
+def _seed(leaf: int) -> list[int]:
+    return [SEED, leaf & (1 << 62) - 1]
+
+
+def fit_leaf(table: pa.Table, cosine: float) -> pa.Table:
+    """(leaf, depth, bounds): the tree that an oversized leaf goes on as; its directions follow from the leaf's number."""
+    leaf, n = (table.column(c)[0].as_py() for c in ("leaf", "n"))
+    (levels,) = fit_forest(matrix(table.column("vec")), n, trees=1, cosine=cosine, seed=_seed(leaf))
+    bounds = [np.stack((low, high), axis=1).ravel().tolist() for _, low, high in levels]
+    return pa.table(
+        {"leaf": pa.array([leaf]), "depth": pa.array([len(levels)], pa.int32()), "bounds": pa.array([sum(bounds, [])], pa.list_(pa.float64()))}
+    )
+
+
+def leaf_levels(leaf: int, depth: int, bounds: np.ndarray, width: int) -> list[tuple]:
+    """The levels that `fit_leaf` wrote down."""
+    rng, pairs, levels = np.random.default_rng(_seed(leaf)), bounds.reshape(-1, 2), []
+    for level in range(depth):
+        own = pairs[(1 << level) - 1 : (2 << level) - 1]
+        levels.append((rng.normal(size=width), own[:, 0], own[:, 1]))
+    return levels
+
+
+def deeper_leaves(leaf: int, points: np.ndarray, levels: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """(row, new leaf) of the vectors of a leaf; a negative one was left whole and is not split again."""
+    whole = np.zeros(1, bool)
+    for _, low, _ in levels:
+        whole = np.repeat(whole | np.isinf(low), 2)
+    row, node = leaves(points, [levels])
+    numbers = mix64(np.full(len(node), leaf, np.int64).view(np.uint64) * np.uint64(BASE) + node.astype(np.uint64)) >> np.uint64(2)
+    numbers = numbers.astype(np.int64) + 1
+    return row, np.where(whole[node] | (len(levels) == 0), -numbers, numbers)
+
+
+def _sent_deeper(members: DataFrame) -> DataFrame:
+    """(cls, leaf) of the vectors of oversized leaves, which come with the tree of their leaf."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            names, points, numbers = batch.column(0).to_numpy(), unit(matrix(batch.column(1))), batch.column(2).to_numpy()
+            found = []
+            for leaf in np.unique(numbers):
+                at = np.flatnonzero(numbers == leaf)
+                bounds = batch.column(4)[int(at[0])].values.to_numpy()
+                levels = leaf_levels(int(leaf), batch.column(3)[int(at[0])].as_py(), bounds, points.shape[1])
+                row, deeper = deeper_leaves(int(leaf), points[at], levels)
+                found.append((names[at[row]], deeper))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], ["cls", "leaf"])
+
+    return members.select("cls", "vec", "leaf", "depth", "bounds").mapInArrow(send, "cls bigint, leaf bigint")
+
+
+def _refined(routed: DataFrame, cosine: float) -> DataFrame:
+    """`routed` with its oversized leaves split further."""
+    while True:
+        in_leaf = routed.select("cls", "vec", F.explode("leaves").alias("leaf"))
+        large = stored(in_leaf.groupBy("leaf").agg(F.count("*").alias("n")).filter((F.col("n") > OVERSIZED) & (F.col("leaf") >= 0)))
+        if large.isEmpty():
+            return routed
+        nth = F.row_number().over(Window.partitionBy("leaf").orderBy(F.xxhash64(F.lit("leaf"), "cls"), "cls"))
+        inside = lookup_join(in_leaf, large, ["leaf"], "cls").filter("n IS NOT NULL")
+        sampled = inside.withColumn("_nth", nth).filter(F.col("_nth") <= LEAF_SAMPLE).select("leaf", "n", "vec")
+        trees = sampled.groupBy("leaf").applyInArrow(lambda table: fit_leaf(table, cosine), "leaf bigint, depth int, bounds array<double>")
+        fitted = lookup_join(in_leaf, stored(trees), ["leaf"], "cls")
+        deeper = _sent_deeper(fitted.filter("depth IS NOT NULL"))
+        kept = fitted.filter("depth IS NULL").select("cls", "leaf")
+        found = kept.unionAll(deeper).groupBy("cls").agg(F.sort_array(F.collect_set("leaf")).alias("leaves"))
+        routed = stored(routed.drop("leaves").join(found, "cls").select("cls", "vec", "copies", "leaves"))
 
 
 def smallest_reached(linked: np.ndarray, names: np.ndarray) -> np.ndarray:
@@ -268,7 +347,7 @@ def near_vectors(
     alone = assigned.filter("core < 0")
     loose = (unit(sample) @ centres.T < math.cos(math.acos(cosine) / 2) + MARGIN).all(axis=1)
     forest = fit_forest(sample[loose], alone.count(), cosine=cosine)
-    routed = stored(_route(alone, forest))
+    routed = _refined(stored(_route(alone, forest)), cosine)
     compared = stored(_compared(routed, cosine).union(_cored(assigned, cosine)))
     links = compared.groupBy("cls").agg(F.sum("links").alias("links"))
     found = components(compared.filter("cls <> reached").select(F.col("cls").alias("a"), F.col("reached").alias("b")))

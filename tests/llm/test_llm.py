@@ -738,6 +738,34 @@ def test_leaves_cut_into_blocks_lose_no_pair(spark, monkeypatch):
     assert found == {i: (n, c) for i, n, c in brute.near_vectors(rows, 6)}
 
 
+def test_oversized_leaves_go_on_as_trees_of_their_own(spark, monkeypatch):
+    """The sample allows two levels; the leaves below them are fitted and split in tasks."""
+    for name, value in (("SAMPLE", 48), ("LEAF", 40), ("OVERSIZED", 90), ("LEAF_SAMPLE", 64)):
+        monkeypatch.setattr(vector_dedup, name, value)
+    rng = np.random.default_rng(21)
+    x = rng.normal(size=(3000, 32))
+    for i in range(0, 2400, 3):  # pairs and triples of near vectors
+        x[i + 1] = x[i] + rng.normal(size=32) * 0.03
+        x[i + 2] = x[i] + rng.normal(size=32) * (0.03 if i % 2 else 1.0)
+    y = x / np.linalg.norm(x, axis=1, keepdims=True)
+    expected = (y @ y.T >= vector_dedup.COSINE).sum(axis=1) - 1
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    rounds, sizes, real = [], [], vector_dedup._refined
+
+    def refined(routed, cosine):
+        count = lambda d: d.select(F.explode("leaves").alias("leaf")).groupBy("leaf").count()
+        rounds.append(count(routed).agg(F.max("count")).first()[0])
+        routed = real(routed, cosine)
+        sizes.extend((r["leaf"], r["count"]) for r in count(routed).collect())
+        return routed
+
+    monkeypatch.setattr(vector_dedup, "_refined", refined)
+    found = {r["vec_id"]: r["n_links"] for r in vector_dedup.near_vectors(df).collect()}
+    links = np.array([found[i] for i in range(3000)])
+    assert rounds[0] > 1000 and all(n <= 90 for leaf, n in sizes if leaf >= 0)
+    assert (links <= expected).all() and links.sum() >= 0.97 * expected.sum() > 0
+
+
 @pytest.mark.parametrize("noise, least", [(0.022, 1.0), (0.035, 0.99)])
 def test_links_inside_a_large_near_group_are_kept(spark, monkeypatch, noise, least):
     """One jittered group of a third of the rows: tight (a core), or so wide that only whole nodes keep its pairs."""
