@@ -82,7 +82,7 @@ def statistics(block: Block) -> np.ndarray:
     distinct, top = _distinct_and_top(hashes, word_offsets)
     inner = np.ones(len(hashes), bool)
     inner[word_offsets[1:][np.diff(word_offsets) > 0] - 1] = False  # the last word of a document starts no pair
-    follower = np.append(hashes[1:], 0).astype(np.uint64)
+    follower = np.append(hashes[1:], np.uint64(0))
     pairs = mix64(hashes * np.uint64(3) + follower)[inner]
     pair_offsets = np.concatenate(([0], np.cumsum(inner)))[word_offsets]
     distinct_pairs, _ = _distinct_and_top(pairs, pair_offsets)

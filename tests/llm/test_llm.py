@@ -3,6 +3,7 @@
 import base64
 import json
 import random
+import re
 import time
 import zlib
 from pathlib import Path
@@ -357,6 +358,70 @@ def test_flat_trees_walk_like_nested_ones():
     assert np.allclose(trees.margins(x[:50]), margins)
 
 
+def plain_statistics(text):
+    """The statistics as their names read, from the bytes of one text."""
+    data = (text or "").encode()
+    words = re.findall(rb"[^\x20\x09-\x0D]+", data)
+    size, n = max(len(data), 1), max(len(words), 1)
+    pieces = data.split(b"\n")
+    sizes = [len(p) + 1 for p in pieces[:-1]] + [len(p) for p in pieces[-1:] if p]  # a line with its break
+    pairs = list(zip(words, words[1:]))
+    caps = lambda w: sum(65 <= b <= 90 for b in w)
+    return [
+        np.log1p(len(data)), np.log1p(len(words)), sum(map(len, words)) / n, sum(len(w) > 20 for w in words) / n,
+        np.log1p(len(words) / len(pieces)), sum(s < 20 for s in sizes) / len(pieces), sum(b in b".!?" for b in data) / n,
+        data.count(b"!") / n, data.count(b"|") / n, *[sum(b in members for b in data) / size for members in quality.CLASSES.values()],
+        len(set(words)) / n, len(set(pairs)) / max(len(words) - 1, 1), sum(a == b for a, b in pairs) / n,
+        max((words.count(w) for w in set(words)), default=0) / n, sum(2 * caps(w) > len(w) for w in words) / n,
+    ]
+
+
+def test_statistics_equal_a_plain_count(documents):
+    import pyarrow as pa
+
+    rng = random.Random(9)
+    parts = ["word", "Word", "LOUD", "word", " ", "\n", "\n\n", "é", "漢", "!", "...", "|", "a-b", "x" * 25, "\t", "12", "$"]
+    texts = [None, "", "\n", " ", "one", "a\n", *["".join(rng.choices(parts, k=rng.randint(1, 60))) for _ in range(200)]]
+    texts += [r["text"] for r in documents.select("text").limit(150).collect()]
+    found = np.concatenate([quality.statistics(b) for b in blocks(pa.array(texts, pa.string()), 5000)])
+    expected = np.array([plain_statistics(text) for text in texts])
+    wrong = np.abs(found - expected).max(axis=0) > 1e-9
+    assert not wrong.any(), [s for s, w in zip(quality.STATISTICS, wrong) if w]
+
+
+def test_histogram_splits_are_the_best_of_all():
+    """Every split of a tree against all cuts of all statistics, tried one by one."""
+    rng = np.random.default_rng(3)
+    x = np.round(rng.normal(size=(300, 3)), 1)  # ties
+    y = ((x[:, 0] > 0.3) | (x[:, 2] < -0.4)).astype(float)
+    trees = quality.fit_trees(x, y, trees=2, depth=2)
+    cuts = [np.unique(np.quantile(c, np.linspace(0, 1, quality.BINS + 1)[1:-1])) for c in x.T]
+    margin = np.full(len(x), trees.start)
+    for root in trees.roots:
+        p = 1 / (1 + np.exp(-margin))
+        g, h = y - p, p * (1 - p)
+        score = lambda rows: g[rows].sum() ** 2 / (h[rows].sum() + quality.RIDGE)
+        waiting = [(root, np.ones(len(x), bool), 0)]
+        while waiting:
+            node, rows, step = waiting.pop()
+            assert trees.value[node] == pytest.approx(quality.RATE * g[rows].sum() / (h[rows].sum() + quality.RIDGE))
+            gains = {}
+            for f in range(3):
+                for cut in cuts[f]:
+                    left = rows & (x[:, f] <= cut)
+                    if min(left.sum(), (rows & ~left).sum()) >= quality.MIN_ROWS:
+                        gains[f, cut] = score(left) + score(rows & ~left) - score(rows)
+            best = max(gains.values(), default=0)
+            if trees.left[node] == node:
+                margin[rows] += trees.value[node]
+                assert step == 2 or best <= 1e-6 or rows.sum() < 2 * quality.MIN_ROWS
+                continue
+            f, cut = trees.feature[node], trees.threshold[node]
+            assert gains[f, cut] == pytest.approx(best)
+            left = rows & (x[:, f] <= cut)
+            waiting += [(trees.left[node], left, step + 1), (trees.right[node], rows & ~left, step + 1)]
+
+
 def test_statistics_do_not_depend_on_the_block():
     import pyarrow as pa
 
