@@ -38,6 +38,7 @@ SLOT = "_slot"
 SLOT_GROUP = [SLOT, *GROUP]
 # A group is hot above this many payments, if it also has the hot share of all candidates.
 HOT_ROWS = 100_000
+ROWS_PER_BUCKET = 250_000
 
 Marks = Callable[[DataFrame, list[str]], DataFrame]
 
@@ -48,6 +49,7 @@ class Candidates:
 
     cold: DataFrame
     hot: DataFrame | None = None
+    groups: DataFrame | None = None  # hashes of the repeated groups and their payments, if they are stored
     table: str | None = None  # the catalog's name of a bucketed store
 
     @property
@@ -55,7 +57,7 @@ class Candidates:
         return self.cold if self.hot is None else self.cold.unionByName(self.hot)
 
     def mapped(self, change: Callable[[DataFrame], DataFrame]) -> Candidates:
-        return Candidates(change(self.cold), None if self.hot is None else change(self.hot), self.table)
+        return Candidates(change(self.cold), None if self.hot is None else change(self.hot), self.groups, self.table)
 
     def discard(self) -> None:
         """Forget the table of a store; its files go with the folder they lie in."""
@@ -85,11 +87,11 @@ def candidates(keyed: DataFrame) -> Candidates:
     repeated = groups.filter("_rows > 1").select(SLOT)  # a filter the Bloom filter can rest on
     large = groups.filter(F.col("_rows") > HOT_ROWS)
     if large.isEmpty():
-        return Candidates(slotted.join(repeated, SLOT, "left_semi"))
+        return Candidates(slotted.join(repeated, SLOT, "left_semi"), groups=groups)
     hot = F.broadcast(hot_rows(groups, "_rows").filter(F.col("_rows") > HOT_ROWS).select(SLOT))
     cold = slotted.join(hot, SLOT, "left_anti").join(repeated, SLOT, "left_semi")
     spread = F.xxhash64("transaction_id", F.lit("spread"))
-    return Candidates(cold, slotted.join(hot, SLOT, "left_semi").withColumn(SLOT, spread))
+    return Candidates(cold, slotted.join(hot, SLOT, "left_semi").withColumn(SLOT, spread), groups)
 
 
 def store_candidates(df: DataFrame, buckets: int | None = None) -> Candidates:
@@ -103,13 +105,14 @@ def store_candidates(df: DataFrame, buckets: int | None = None) -> Candidates:
     marked = found.cold.withColumn("_is_hot", F.lit(False))
     if found.hot is not None:
         marked = marked.unionByName(found.hot.withColumn("_is_hot", F.lit(True)))
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    payments = found.groups.agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]
+    buckets = buckets or max(1, -(-payments // ROWS_PER_BUCKET))
     name = f"candidates_{uuid.uuid4().hex}"
     writer = marked.repartition(buckets, SLOT).write.format("parquet").option("path", scratch_path(spark, "candidates"))
     writer.bucketBy(buckets, SLOT).sortBy(SLOT, "transaction_date").saveAsTable(name)
     table = spark.table(name)
     cold, hot = (table.filter(f"_is_hot = {is_hot}").drop("_is_hot") for is_hot in ("false", "true"))
-    return Candidates(cold, None if found.hot is None else hot, name)
+    return Candidates(cold, None if found.hot is None else hot, table=name)
 
 
 def _candidates_of(source: DataFrame | Candidates, key: Callable[[DataFrame], DataFrame]) -> Candidates:

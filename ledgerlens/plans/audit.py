@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators import cleaning, register, summaries
 from ledgerlens.operators.checks import merge_with_vendor_limits
+from ledgerlens.operators.duplicates import Candidates, store_candidates
 from ledgerlens.operators.joins import fits_broadcast
 from ledgerlens.schema import CHECKS, AuditSettings
 from ledgerlens.sources import csv
@@ -24,10 +25,13 @@ class AuditResult:
     by_vendor: DataFrame
     data_quality: DataFrame
     row_counts: DataFrame
+    candidates: Candidates | None = None  # bucketed by group, for more duplicate rules; None if the merge repeats payments
     run_folder: str | None = None  # holds the intermediate tables of run_audit
 
     def discard(self) -> None:
         """Delete the intermediate tables; the frames can't be read after that, the written results can."""
+        if self.candidates:
+            self.candidates.discard()
         if self.run_folder:
             discard(self.transactions.sparkSession, self.run_folder)
 
@@ -43,16 +47,17 @@ def audit(
     Numbering the register stores it, so the summaries read the stored register
     instead of running the checks again. Where the limits are too many to
     broadcast, the merged table is stored too: it is shuffled once, not per check.
+    The duplicate candidates are stored bucketed by group, for the register and for any other duplicate rule.
     `known_counts` gives the rows of both inputs, if they were counted as they were written; the rows
     of each check are counted in the write of the register.
     """
     merged = merge_with_vendor_limits(transactions, limits)
     repeated = limits.groupBy("vendor_id").count().filter("count > 1 AND vendor_id IS NOT NULL")
-    payments = transactions if repeated.isEmpty() else None
+    candidates = store_candidates(transactions) if repeated.isEmpty() else None
     if not fits_broadcast(limits):
         merged = stored(merged)
     per_check = Observation()
-    found = register.exception_register(merged, settings, payments, per_check)
+    found = register.exception_register(merged, settings, candidates, per_check)
     if known_counts:
         spark, counts = transactions.sparkSession, known_counts() | per_check.get
         row_counts = summaries.observed_row_counts(spark, counts)
@@ -65,6 +70,7 @@ def audit(
         by_vendor=summaries.summarise_by_vendor(found),
         data_quality=summaries.data_quality(transactions),
         row_counts=row_counts,
+        candidates=candidates,
     )
 
 

@@ -7,7 +7,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlens.operators import checks, cleaning, joins, measures, register, summaries, validation
+from ledgerlens.operators import checks, cleaning, duplicates, joins, measures, register, summaries, validation
 from ledgerlens.plans.audit import audit, run_audit
 from ledgerlens.sources import scratch
 from ledgerlens.schema import BASE_COLUMNS, CHECKS, REGISTER_COLUMNS, TRANSACTION_SCHEMA
@@ -260,3 +260,12 @@ def test_the_register_file_is_in_order(spark, audited, paths):
     folder = Path(paths[2]) / "exceptions_master.csv"
     ids = [int(line.split(",")[0]) for p in sorted(folder.glob("part-*")) for line in p.read_text().splitlines()[1:]]
     assert ids == list(range(1, 35))
+
+
+def test_an_audit_offers_its_stored_candidates(audited):
+    """Other duplicate rules read the buckets that the register was built from."""
+    rows = audited.candidates.rows
+    assert numbers(duplicates.duplicate_rows(audited.candidates)) == DUPLICATES
+    clusters = duplicates.duplicate_clusters(audited.candidates)
+    assert sorted({r.cluster_size for r in clusters.collect()}) == [2]
+    assert numbers(duplicates.semi_join_duplicates(audited.candidates)) == DUPLICATES and rows.count() >= len(DUPLICATES)
