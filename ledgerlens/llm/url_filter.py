@@ -142,9 +142,9 @@ def judge_urls(
         .groupBy("page_id")
         .agg(F.count("*").alias("n"), F.count_if("bad").alias("bad"))
     )
-    counted = lookup_join(seen.select("page_id", "host"), labelled, ["page_id"], spread_by="host")
+    counted = lookup_join(seen, labelled, ["page_id"], spread_by="host, path")
     counted = counted.select("host", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n", "bad")])
     blocked = stored(host_reputation(counted).filter(F.col("bound") > max_bad).select("host", F.lit(True).alias("_bad_host")))
-    ruled = lookup_join(seen, blocked, ["host"], spread_by="page_id").withColumn("_rule", rule_of(F.col("host"), F.col("path"), rules))
+    ruled = lookup_join(seen, blocked, ["host"], spread_by="page_id, path").withColumn("_rule", rule_of(F.col("host"), F.col("path"), rules))
     own = F.when(F.col("_bad_host"), "block").otherwise("allow")
     return ruled.select("page_id", "host", "path", "_rule.rule", F.coalesce("_rule.verdict", own).alias("verdict"))
