@@ -39,10 +39,10 @@ from pyspark.sql import functions as F
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 META = "▁"
 UNKNOWN_PENALTY = 10.0
-PART_BYTES = 1 << 24  # of text whose runs are coded together
+PART_BYTES = 1 << 22  # of text whose runs are coded together
 SIDE_BY_SIDE = 1 << 20  # runs times letters of the longest
 FEW = 16  # so few runs go through one by one
-DENSE = 192  # letters whose transitions are tabulated for every node
+DENSE = 128  # letters whose transitions are tabulated for every node
 
 
 @dataclass(frozen=True)
