@@ -225,8 +225,8 @@ def frozen_nodes(counts: DataFrame, floor: int) -> tuple[DataFrame, DataFrame]:
     all_ = F.col("total") + F.col("kinds")
     nodes = placed.filter(F.col("n") >= floor).join(contexts, ["lang", "order", "context"])
     return (
-        nodes.select("lang", "order", "gram", F.log2(all_ / F.col("n")).alias("bits")),
-        contexts.select("lang", "order", "context", F.log2(all_ / F.col("kinds")).alias("bits")),
+        nodes.select("lang", F.col("order").cast("tinyint"), "gram", F.log2(all_ / F.col("n")).cast("float").alias("bits")),
+        contexts.select("lang", F.col("order").cast("tinyint"), "context", F.log2(all_ / F.col("kinds")).cast("float").alias("bits")),
     )
 
 
@@ -242,7 +242,7 @@ def train(
         floor *= 2
     numbers = df.sparkSession.createDataFrame(list(zip(languages, range(len(languages)))), "lang string, _lang int")
     numbered = counts.join(F.broadcast(numbers), "lang").select(F.col("_lang").alias("lang"), "order", "gram", "n")
-    nodes, escapes = (found.toPandas() for found in frozen_nodes(numbered, floor))
+    nodes, escapes = (found.toArrow().to_pandas() for found in frozen_nodes(numbered, floor))  # as Arrow: no objects per row
     firsts = range(0, len(languages), GROUP)
     groups = [build_trees(nodes, escapes, range(a, min(a + GROUP, len(languages))), order) for a in firsts]
     return Model(languages, groups, order)
