@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.sources.scratch import stored
+from ledgerlens.sources.shipping import ship
 
 RECORD, HEAD, TAIL = 0, 1, 2
 PIECES = pa.schema([("range", pa.int64()), ("kind", pa.int32()), ("first", pa.bool_()), ("text", pa.string())])
@@ -92,6 +93,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def quoted_records(spark: SparkSession, path: str) -> DataFrame:
     """(text, first): every CSV record of the files under `path` as raw text, and whether it is the first of its file."""
+    ship(spark)
     file, block = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
     lines = spark.read.option("lineSep", "\n").text(path).select(
         "value", file.alias("file"), block.alias("block"), F.xxhash64(file, block).alias("range")

@@ -269,3 +269,15 @@ def test_an_audit_offers_its_stored_candidates(audited):
     clusters = duplicates.duplicate_clusters(audited.candidates)
     assert sorted({r.cluster_size for r in clusters.collect()}) == [2]
     assert numbers(duplicates.semi_join_duplicates(audited.candidates)) == DUPLICATES and rows.count() >= len(DUPLICATES)
+
+
+@pytest.mark.parametrize("multiline", [False, True])
+def test_no_transactions(spark, paths, tmp_path, multiline):
+    """A header alone: no exceptions, all counts there."""
+    header = (DATA / "transactions.csv").read_text().splitlines()[0]
+    (tmp_path / "tx.csv").write_text(header + "\n")
+    result = run_audit(spark, str(tmp_path / "tx.csv"), paths[1], str(tmp_path / "out"), multiline=multiline)
+    counts = {r["name"]: r["row_count"] for r in result.row_counts.collect()}
+    assert counts == {"transactions": 0, "vendors": 10, **dict.fromkeys(CHECKS, 0)}
+    assert result.register.count() == 0 and result.by_vendor.count() == 0
+    result.discard()
