@@ -35,7 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.text import BASE, BASE_INVERSE, IS_SPACE, Block, blocks, mix64, powers, slice_hashes
+from ledgerlens.llm.batches import map_batches
+from ledgerlens.llm.text import BASE, BASE_INVERSE, IS_SPACE, SMALL_BLOCK, Block, blocks, mix64, powers, slice_hashes
 from ledgerlens.sources.scratch import stored
 
 MIN_WORDS = 5
@@ -160,7 +161,7 @@ def _lines(rows: DataFrame, min_words: int, short_lines: bool) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch.column(2)):
+            for block in blocks(batch.column(2), SMALL_BLOCK):
                 owner, number, first, end = line_words(block, 1 if short_lines else min_words)
                 hashes = block.word_hashes()
                 owners = pa.array(owner + block.first)
@@ -180,7 +181,7 @@ def _lines(rows: DataFrame, min_words: int, short_lines: bool) -> DataFrame:
 
     id_type = rows.schema["id"].dataType.simpleString()
     schema = f"id {id_type}, mark bigint, line int, hash bigint, words int, halves array<bigint>"
-    return rows.mapInArrow(read, schema)
+    return map_batches(rows, read, schema)
 
 
 def _line_texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -204,7 +205,7 @@ def _variants(lines: DataFrame, min_words: int) -> DataFrame:
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch.column(2), 1 << 18):
+            for block in blocks(batch.column(2), SMALL_BLOCK):
                 line, at, keys = line_variants(block, min_words)
                 rows = pa.array(line + block.first)
                 for start in range(0, len(line), 20_000):
@@ -220,7 +221,7 @@ def _variants(lines: DataFrame, min_words: int) -> DataFrame:
                         ["key", "at", "hash", "place"],
                     )
 
-    return lines.select("hash", "place", "text").mapInArrow(emit, f"key bigint, at int, hash bigint, place {place_type}")
+    return map_batches(lines.select("hash", "place", "text"), emit, f"key bigint, at int, hash bigint, place {place_type}")
 
 
 def _verified(pairs: DataFrame, min_words: int) -> DataFrame:
@@ -230,7 +231,7 @@ def _verified(pairs: DataFrame, min_words: int) -> DataFrame:
             alike = [within_one_edit(compared_parts(x, min_words), compared_parts(y, min_words)) for x, y in zip(a, b)]
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(alike, pa.bool_()))], ["hash"])
 
-    return pairs.select("hash", "text", "other_text").mapInArrow(check, "hash bigint")
+    return map_batches(pairs.select("hash", "text", "other_text"), check, "hash bigint")
 
 
 def _near_lines(rows: DataFrame, distinct: DataFrame, min_words: int) -> DataFrame:

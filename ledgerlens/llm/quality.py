@@ -21,7 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.text import Block, blocks, mix64, sums
+from ledgerlens.llm.batches import map_batches
+from ledgerlens.llm.text import SMALL_BLOCK, Block, blocks, mix64, sums
 
 MAX_ROWS = 20_000  # labelled rows that the trees are fitted on
 KEEP_SCORE = 0.7
@@ -185,13 +186,13 @@ def document_statistics(df: DataFrame, id_column: str, text_column: str) -> Data
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [statistics(b) for b in blocks(batch.column(1))]
+            rows = [statistics(b) for b in blocks(batch.column(1), SMALL_BLOCK)]
             x = np.concatenate(rows) if rows else np.zeros((0, len(STATISTICS)))
             lists = pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1], pa.array(x.ravel()))
             yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["id", "x"])
 
     kept = df.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
-    found = kept.mapInArrow(read, f"id {kept.schema['id'].dataType.simpleString()}, x array<double>")
+    found = map_batches(kept, read, f"id {kept.schema['id'].dataType.simpleString()}, x array<double>")
     return found.withColumnRenamed("id", id_column)
 
 
@@ -215,12 +216,12 @@ def score_quality(df: DataFrame, trees: Trees | None, id_column: str = "doc_id",
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [np.ones(b.n) if trees is None else trees.scores(statistics(b)) for b in blocks(batch.column(1))]
+            found = [np.ones(b.n) if trees is None else trees.scores(statistics(b)) for b in blocks(batch.column(1), SMALL_BLOCK)]
             scores = np.concatenate(found) if found else np.zeros(0)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], ["id", "score"])
 
     kept = df.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
-    found = kept.mapInArrow(score, f"id {kept.schema['id'].dataType.simpleString()}, score double")
+    found = map_batches(kept, score, f"id {kept.schema['id'].dataType.simpleString()}, score double")
     return found.withColumnRenamed("id", id_column)
 
 
@@ -230,8 +231,8 @@ def keep_good(df: DataFrame, trees: Trees | None, text_column: str = "text", lea
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [np.ones(b.n) if trees is None else trees.scores(statistics(b)) for b in blocks(batch.column(at))]
+            found = [np.ones(b.n) if trees is None else trees.scores(statistics(b)) for b in blocks(batch.column(at), SMALL_BLOCK)]
             scores = np.concatenate(found) if found else np.zeros(0)
             yield batch.filter(pa.array(scores >= least))
 
-    return df.mapInArrow(keep, df.schema)
+    return map_batches(df, keep, df.schema)

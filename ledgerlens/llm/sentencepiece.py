@@ -36,6 +36,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.llm.batches import map_batches
+
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 META = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -393,7 +395,7 @@ def encode_texts(df: DataFrame, vocabulary: Vocabulary, id_column: str = "doc_id
                 yield pa.RecordBatch.from_arrays([part.column(0), *machine.encode_column(part.column(1))], ["id", "ids", "exact"])
 
     kept = df.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
-    found = kept.mapInArrow(encode, f"id {kept.schema['id'].dataType.simpleString()}, ids array<int>, exact boolean")
+    found = map_batches(kept, encode, f"id {kept.schema['id'].dataType.simpleString()}, ids array<int>, exact boolean")
     return found.withColumnRenamed("id", id_column)
 
 
@@ -408,5 +410,5 @@ def decode_ids(df: DataFrame, vocabulary: Vocabulary, id_column: str = "doc_id",
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["id", "text"])
 
     kept = df.select(F.col(id_column).alias("id"), F.col(ids_column).cast("array<int>").alias("ids"))
-    found = kept.mapInArrow(decode, f"id {kept.schema['id'].dataType.simpleString()}, text string")
+    found = map_batches(kept, decode, f"id {kept.schema['id'].dataType.simpleString()}, text string")
     return found.withColumnRenamed("id", id_column)
